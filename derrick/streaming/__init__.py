@@ -1,0 +1 @@
+"""Intentionally empty: every source is read, and every table replaced, as a batch."""
