@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,11 +12,17 @@ from derrick.schemas import TableSpec, conform
 from derrick.sources.stores import Store
 
 
-def load_rows(store: Store, spec: TableSpec, df: DataFrame, reset: bool = False) -> None:
+def load_rows(
+    store: Store,
+    spec: TableSpec,
+    df: DataFrame,
+    reset: bool = False,
+    order_by: Sequence[str] | None = None,
+) -> None:
     """Append ``df`` (``reset`` empties the table first and restarts the key).
 
-    Ids are dense and follow the table's natural key, so that the same input
-    gets the same ids again.
+    Ids are dense and follow the table's natural key unless ``order_by`` is
+    given, so that the same input gets the same ids again.
     """
     fresh = reset or not store.exists(spec.name)
     if spec.stamp and spec.stamp not in df.columns:
@@ -24,8 +32,8 @@ def load_rows(store: Store, spec: TableSpec, df: DataFrame, reset: bool = False)
         if not fresh:
             last = store.read(spec.name).agg(F.max(spec.surrogate)).first()[0]
             start = (last or 0) + 1
-        order = next((k for k in spec.keys if spec.surrogate not in k), None)
-        order = order or tuple(c for c in df.columns if c != spec.stamp)
+        natural = next((k for k in spec.keys if spec.surrogate not in k), None)
+        order = order_by or natural or [c for c in df.columns if c != spec.stamp]
         df = dense_row_id(df, order, spec.surrogate, start=start)
     rows = conform(df, spec)
     if fresh:
