@@ -1,12 +1,12 @@
 """Exact quantiles and order statistics of whole columns.
 
-The built-in exact ``percentile`` gathers every distinct value in one task. Here
-values are first counted per distinct value (map-side combined, shuffled by
-value). Columns with few distinct values, such as two-decimal measures, then
-need one more pass over that short table. Columns with many are first narrowed:
-a sketch proposes a bracket around the wanted rank, an exact count confirms it,
-and this repeats until the bracket holds few enough distinct values. Only the
-values next to the wanted ranks reach the driver.
+The built-in exact ``percentile`` gathers every distinct value in one task, and
+from every input task a table of its own. Here rows are first counted per
+distinct value (map-side combined, shuffled by value), and ``percentile`` sees
+that short table only, if the column has few distinct values, as two-decimal
+measures do. A column with many is first narrowed: a sketch proposes a bracket
+around the wanted rank, an exact count confirms it, and this repeats until the
+bracket holds few enough distinct values. Only the answers reach the driver.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,12 @@ _SKETCH = 10_000
 _ESTIMATE_ERROR = 0.05
 
 
+class ColumnSize(NamedTuple):
+    rows: int  # with a value
+    distinct: int  # estimated
+    missing: int  # null or NaN
+
+
 @dataclass(frozen=True)
 class _Target:
     """One wanted rank of one column, inside the bracket [low, high]."""
@@ -49,10 +56,12 @@ class _Target:
         return keep
 
 
-def column_sizes(df: DataFrame, columns: Iterable[str]) -> dict[str, tuple[int, int]]:
-    """(rows with a value, estimated distinct values) per column, in one pass."""
+def column_sizes(df: DataFrame, columns: Iterable[str]) -> dict[str, ColumnSize]:
+    """Size of each column, all in one pass."""
     names = list(columns)
-    aggs = []
+    if not names:
+        return {}
+    aggs = [F.count(F.lit(1)).alias("all")]
     for i, c in enumerate(names):
         x = valid(c)
         aggs += [
@@ -60,19 +69,21 @@ def column_sizes(df: DataFrame, columns: Iterable[str]) -> dict[str, tuple[int,
             F.approx_count_distinct(x, _ESTIMATE_ERROR).alias(f"d{i}"),
         ]
     row = df.agg(*aggs).first()
-    return {c: (row[f"n{i}"], row[f"d{i}"]) for i, c in enumerate(names)}
+    return {
+        c: ColumnSize(row[f"n{i}"], row[f"d{i}"], row["all"] - row[f"n{i}"])
+        for i, c in enumerate(names)
+    }
 
 
 def _value_counts(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
     """(name, value, rows) with one line per distinct value of each column."""
-    pairs = F.array(
-        *(
-            F.struct(F.lit(name).alias("name"), x.cast("double").alias("value"))
-            for name, x in values.items()
-        )
-    )
+    pairs = [
+        F.struct(F.lit(name).alias("name"), x.cast("double").alias("value"))
+        for name, x in values.items()
+    ]
+    pair = pairs[0] if len(pairs) == 1 else F.explode(F.array(*pairs))
     return (
-        df.select(F.explode(pairs).alias("p"))
+        df.select(pair.alias("p"))
         .select("p.name", "p.value")
         .filter(F.col("value").isNotNull())
         .groupBy("name", "value")
@@ -147,7 +158,7 @@ def _narrow(df: DataFrame, targets: list[_Target]) -> list[_Target]:
 def order_statistics(
     df: DataFrame,
     ranks: Mapping[str, Iterable[int]],
-    sizes: Mapping[str, tuple[int, int]] | None = None,
+    sizes: Mapping[str, ColumnSize] | None = None,
     distinct_limit: int = DISTINCT_LIMIT,
 ) -> dict[str, dict[int, float]]:
     """Values at zero-based ranks of each column's present values.
@@ -156,7 +167,7 @@ def order_statistics(
     """
     sizes = sizes or column_sizes(df, ranks)
     targets = [
-        _Target(c, r, rows=sizes[c][0], distinct=sizes[c][1])
+        _Target(c, r, rows=sizes[c].rows, distinct=sizes[c].distinct)
         for c, wanted in ranks.items()
         for r in sorted(set(wanted))
     ]
@@ -206,7 +217,7 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
-    sizes: Mapping[str, tuple[int, int]] | None = None,
+    sizes: Mapping[str, ColumnSize] | None = None,
     distinct_limit: int = DISTINCT_LIMIT,
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles per column; a column without values gives None.
@@ -217,26 +228,17 @@ def exact_quantiles(
     columns = list(columns)
     if sizes is None:
         sizes = column_sizes(df, columns)
-    short = [c for c in columns if sizes[c][1] <= distinct_limit]
+    short = [c for c in columns if sizes[c].distinct <= distinct_limit]
     long = [c for c in columns if c not in short]
     out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
 
     if short:
-        wanted = F.lit(False)
-        for p in probs:
-            place = (F.col("total") - 1) * F.lit(float(p))
-            wanted |= _holds(F.floor(place)) | _holds(F.ceil(place))
-        found = _ranked(_value_counts(df, {c: valid(c) for c in short})).filter(wanted).collect()
-        for c in short:
-            lines = [r for r in found if r["name"] == c]
-            if not lines:
-                continue
-            total = lines[0]["total"]
-
-            def at(rank: int) -> float:
-                return next(r["value"] for r in lines if r["first"] <= rank < r["upto"])
-
-            out[c] = [_place(at, total, p) for p in probs]
+        asked = F.array(*(F.lit(float(p)) for p in probs))
+        counts = _value_counts(df, {c: valid(c) for c in short})
+        ranked = counts.groupBy("name").agg(
+            F.percentile("value", asked, F.col("rows")).alias("found")
+        )
+        out |= {r["name"]: list(r["found"]) for r in ranked.collect()}
 
     if long:
         exact = column_sizes(df, long)
@@ -246,12 +248,12 @@ def exact_quantiles(
                 for p in probs
                 for edge in (math.floor((n - 1) * p), math.ceil((n - 1) * p))
             }
-            for c, (n, _) in exact.items()
+            for c, (n, *_) in exact.items()
             if n
         }
         stats = order_statistics(df, ranks, exact, distinct_limit)
         for c in ranks:
-            out[c] = [_place(stats[c].__getitem__, exact[c][0], p) for p in probs]
+            out[c] = [_place(stats[c].__getitem__, exact[c].rows, p) for p in probs]
     return out
 
 

@@ -1,20 +1,25 @@
-"""Global scores. Whole-table statistics are one-row scalar subqueries: computed
-once, with partial aggregation, and reused inside the same plan."""
+"""Global scores. Whole-table statistics are one row, combined on the map side and
+put back as literals: no join, no window over the whole table, and every further
+pass stays a plain projection. A costly input should be materialised first."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from derrick.functions import clamp, row_max_abs, valid
 
 
-def whole_table(df: DataFrame, aggregates: Mapping[str, Column]) -> Column:
-    """A struct of aggregates over all rows of ``df``, usable in any expression."""
-    one_row = df.agg(*(a.alias(n) for n, a in aggregates.items()))
-    return one_row.select(F.struct(*aggregates)).scalar()
+def whole_table(df: DataFrame, aggregates: Mapping[str, Column]) -> Row:
+    """One row of aggregates over all rows of ``df``."""
+    return df.agg(*(a.alias(n) for n, a in aggregates.items())).first()
+
+
+def _ratio(x: Column, by: float | None) -> Column:
+    """Null where there is nothing, or zero, to divide by."""
+    return x / F.lit(by) if by else F.lit(None).cast("double")
 
 
 def zscore(df: DataFrame, columns: Sequence[str], suffix: str = "_zscore") -> DataFrame:
@@ -27,9 +32,11 @@ def zscore(df: DataFrame, columns: Sequence[str], suffix: str = "_zscore") -> Da
         {f"mean_{c}": F.avg(valid(c)) for c in columns}
         | {f"std_{c}": F.stddev_pop(valid(c)) for c in columns},
     )
-    spread = {c: F.coalesce(F.nullif(stats[f"std_{c}"], F.lit(0.0)), F.lit(1.0)) for c in columns}
     return df.withColumns(
-        {f"{c}{suffix}": (valid(c) - stats[f"mean_{c}"]) / spread[c] for c in columns}
+        {
+            f"{c}{suffix}": (valid(c) - F.lit(stats[f"mean_{c}"])) / F.lit(stats[f"std_{c}"] or 1.0)
+            for c in columns
+        }
     )
 
 
@@ -53,7 +60,8 @@ def minmax_score(df: DataFrame, column: str, output: str) -> DataFrame:
     """Scale to 0..1 over all rows; a constant column gives null."""
     x = valid(column)
     s = whole_table(df, {"low": F.min(x), "high": F.max(x)})
-    return df.withColumn(output, (x - s["low"]) / F.nullif(s["high"] - s["low"], F.lit(0.0)))
+    width = None if s["low"] is None else s["high"] - s["low"]
+    return df.withColumn(output, _ratio(x - F.lit(s["low"]), width))
 
 
 def risk_score(
@@ -70,6 +78,6 @@ def risk_score(
     mixed = (
         w_prob * F.col(probability)
         + w_flag * F.col(flag).cast("int")
-        + w_dev * (F.col(deviation) / F.nullif(top, F.lit(0.0)))
+        + w_dev * _ratio(F.col(deviation), top)
     )
     return df.withColumn(output, clamp(mixed))

@@ -20,12 +20,13 @@ DAY = ["well_id", "production_date"]
 def clean_measures(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Median fill, then the row filter column by column.
 
-    Filling adds at most one value per column and filtering only removes some,
-    so one pass over the raw table sizes all later quantile jobs.
+    One pass over the raw table sizes all later jobs: filling adds at most one
+    value to a column and leaves no gap, filtering only takes values away.
     """
     columns = [c for c in columns if c in df.columns]
-    sizes = column_sizes(df, columns) if columns else {}
-    return filter_iqr(impute_median(df, columns, sizes), columns, sizes=sizes)
+    sizes = column_sizes(df, columns)
+    full = {c: s._replace(missing=0 if s.rows else s.missing) for c, s in sizes.items()}
+    return filter_iqr(impute_median(df, columns, sizes), columns, sizes=full)
 
 
 def features_daily(production: DataFrame, telemetry: DataFrame, wells: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from derrick.plans.features import (
     features_by_well,
     features_daily,
 )
+from derrick.sources.scratch import materialize
 from querybook import roles
 from querybook.book import day, plain, query, r, table
 from querybook.roles import with_roles
@@ -132,6 +133,12 @@ features AS (
 """
 
 
+def _features(spark, d):
+    """Telemetry is a join here and read once per measure, so it is stored first."""
+    telemetry = materialize(roles.telemetry(spark, d), "telemetry")
+    return features_daily(roles.production(spark, d), telemetry, roles.wells(spark, d))
+
+
 @query(
     "features_daily",
     with_roles(
@@ -147,11 +154,7 @@ features AS (
     ),
 )
 def features_daily_query(spark, d):
-    return plain(
-        features_daily(
-            roles.production(spark, d), roles.telemetry(spark, d), roles.wells(spark, d)
-        )
-    )
+    return plain(_features(spark, d))
 
 
 @query(
@@ -166,7 +169,4 @@ def features_daily_query(spark, d):
     ),
 )
 def features_by_well_query(spark, d):
-    daily = features_daily(
-        roles.production(spark, d), roles.telemetry(spark, d), roles.wells(spark, d)
-    )
-    return plain(features_by_well(daily))
+    return plain(features_by_well(_features(spark, d)))

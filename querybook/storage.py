@@ -16,17 +16,16 @@ from querybook.roles import with_roles
 
 @query(
     "partitioned_roundtrip",
-    f"""SELECT year(o_orderdate)::BIGINT AS year, month(o_orderdate)::BIGINT AS month,
-        day(o_orderdate)::BIGINT AS day, count(*) AS rows_count,
-        {r('sum(o_totalprice)', 2)} AS total FROM orders GROUP BY 1, 2, 3""",
+    f"""SELECT year(ts)::BIGINT AS year, month(ts)::BIGINT AS month, day(ts)::BIGINT AS day,
+        count(*) AS rows_count, {r('sum(value)', 2)} AS total FROM events GROUP BY 1, 2, 3""",
 )
 def partitioned_roundtrip(spark, d):
-    path = scratch_path(spark, "export-orders")
-    export_table(table(spark, d, "orders"), path, "o_orderdate")
+    path = scratch_path(spark, "export-events")
+    export_table(table(spark, d, "events"), path, "ts")
     back = spark.read.parquet(path)
     return plain(
         back.groupBy("year", "month", "day").agg(
-            F.count(F.lit(1)).alias("rows_count"), F.sum("o_totalprice").alias("total")
+            F.count(F.lit(1)).alias("rows_count"), F.sum("value").alias("total")
         ),
         2,
     )
