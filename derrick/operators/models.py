@@ -19,11 +19,18 @@ def feature_vector(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=_VECTOR).transform(df)
 
 
+def training_set(train: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Training reads its rows again and again, so every core gets a share."""
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    spread = train if train.rdd.getNumPartitions() >= cores else train.repartition(cores)
+    return feature_vector(spread, features)
+
+
 def fit_linear(train: DataFrame, features: Sequence[str], target: str):
     """Ordinary least squares with intercept."""
     return LinearRegression(
         featuresCol=_VECTOR, labelCol=target, regParam=0.0, solver="normal"
-    ).fit(feature_vector(train, features))
+    ).fit(training_set(train, features))
 
 
 def fit_forest_regressor(
@@ -43,7 +50,7 @@ def fit_forest_regressor(
         maxDepth=depth,
         featureSubsetStrategy="all",
         seed=seed,
-    ).fit(feature_vector(train, features))
+    ).fit(training_set(train, features))
 
 
 def balanced_weights(train: DataFrame, label: str, weight: str = "_weight") -> DataFrame:
@@ -73,7 +80,7 @@ def fit_forest_classifier(
         numTrees=trees,
         maxDepth=depth,
         seed=seed,
-    ).fit(feature_vector(balanced_weights(train, label), features))
+    ).fit(training_set(balanced_weights(train, label), features))
 
 
 def predict(model, df: DataFrame, features: Sequence[str], output: str = "predicted") -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,8 +37,16 @@ def features_daily(production: DataFrame, telemetry: DataFrame, wells: DataFrame
 
     Wells whose telemetry was filtered away keep their days with nulls.
     """
-    made = clean_measures(as_measures(production), PRODUCTION_MEASURES)
-    read = clean_measures(as_measures(telemetry), TELEMETRY_MEASURES)
+    raw = (
+        (as_measures(production), PRODUCTION_MEASURES),
+        (as_measures(telemetry), TELEMETRY_MEASURES),
+    )
+    # The two tables do not wait for each other's small statistics jobs.
+    with ThreadPoolExecutor(len(raw)) as pool:
+        clean = inheritable_thread_target(production.sparkSession)(
+            lambda table: clean_measures(*table)
+        )
+        made, read = pool.map(clean, raw)
     made_daily = group_sums(
         made.withColumn("production_date", to_day("production_date")),
         DAY,

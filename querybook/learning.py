@@ -18,6 +18,7 @@ from derrick.operators.split import random_split, stratified_split
 from derrick.plans import marts, views
 from derrick.plans.failure_risk import FEATURES, KEY, sensor_readings, train_failure_model
 from derrick.plans.production_model import train_production_model
+from derrick.sources.scratch import materialize
 from querybook import roles
 from querybook.book import day, flag, plain, query, r, table
 from querybook.roles import with_roles
@@ -157,12 +158,11 @@ def model_matrix(spark, d):
     return plain(vectors.select("well_id", "date", total.alias("checksum")))
 
 
-def _trained(spark, d):
-    return train_production_model(marts.ml_dataset(_complete_targets(spark, d)), trees=20, depth=5)
-
-
-def _complete_targets(spark, d):
-    return roles.well_targets(spark, d).na.fill(0.0, ["avg_power_kw"])
+def _trained(spark, d, **options):
+    """The training table is stored first, as the job that trains reads it so."""
+    targets = roles.well_targets(spark, d).na.fill(0.0, ["avg_power_kw"])
+    dataset = materialize(marts.ml_dataset(targets), "ml-dataset")
+    return train_production_model(dataset, **options)
 
 
 @query("rf_regress")
@@ -173,15 +173,14 @@ def rf_regress(spark, d):
 
 @query("reg_model_metrics")
 def reg_model_metrics(spark, d):
-    return views.ml_metrics(_trained(spark, d).metrics)
+    """Errors of both models; a small forest, the full one is ``rf_regress``."""
+    return views.ml_metrics(_trained(spark, d, trees=20, depth=5).metrics)
 
 
 @query("rf_classify")
 def rf_classify(spark, d):
     """Daily pump risk from the isolation forest, the classifier and the z-scores."""
-    made = train_failure_model(
-        roles.pump_sensors(spark, d), roles.pump_failures(spark, d), trees=40, depth=5
-    )
+    made = train_failure_model(roles.pump_sensors(spark, d), roles.pump_failures(spark, d))
     return views.pump_risk_score(made.daily)
 
 

@@ -87,4 +87,4 @@ def scalar_funcs(spark, d):
         *(c.alias(n) for n, c in parts.items()),
         parse_timestamp(text, strict=False).alias("parsed"),
     )
-    return plain(df, 9)
+    return plain(df)
