@@ -18,13 +18,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import querybook  # noqa: E402
 from derrick.session import get_session  # noqa: E402
-from derrick.sources.scratch import drop_scratch  # noqa: E402
+from derrick.sources.scratch import scratch_scope  # noqa: E402
 
 
 def run_once(fn, spark, sf_dir: str) -> float:
-    start = time.perf_counter()
-    fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    with scratch_scope(spark):
+        start = time.perf_counter()
+        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - start
 
 
 def main() -> None:
@@ -49,7 +50,6 @@ def main() -> None:
             statistics.median(run_once(fn, spark, sf_dir) for _ in range(runs)), 3
         )
         print(f"{name}: {times[name]}", file=sys.stderr, flush=True)
-        drop_scratch(spark)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(
         json.dumps(

@@ -179,13 +179,13 @@ def score_column(df: DataFrame, features: Sequence[str], forest: Forest) -> Colu
     )
 
     @F.pandas_udf("double")
-    def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         model = shared.value
-        for columns in batches:
-            points = np.column_stack([np.nan_to_num(c.to_numpy(dtype=float)) for c in columns])
+        for batch in batches:
+            points = np.nan_to_num(batch.to_numpy(dtype=float))
             yield pd.Series(anomaly_scores(points, *model))
 
-    return score(*(valid(c) for c in features))
+    return score(F.struct(*(valid(c).alias(c) for c in features)))
 
 
 def isolation_scores(

@@ -73,7 +73,7 @@ def fit_forest_classifier(
     depth: int = 6,
     seed: int = 42,
 ):
-    return RandomForestClassifier(
+    model = RandomForestClassifier(
         featuresCol=_VECTOR,
         labelCol=label,
         weightCol="_weight",
@@ -81,6 +81,9 @@ def fit_forest_classifier(
         maxDepth=depth,
         seed=seed,
     ).fit(training_set(balanced_weights(train, label), features))
+    # A copy leaves out the training summary, which would travel to every task
+    # and cannot once the session has observed a write.
+    return model.copy()
 
 
 def predict(model, df: DataFrame, features: Sequence[str], output: str = "predicted") -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from derrick.plans import failure_risk, features, marts, production_model, views
 from derrick.schemas import TABLES
 from derrick.sources.export import export_all
-from derrick.sources.scratch import drop_scratch, materialize
+from derrick.sources.scratch import materialize, scratch_scope
 from derrick.sources.stores import Store, reconcile, replace_counted
 
 MARTS = ("mart_production", "mart_failures", "mart_logistics", "mart_ml_dataset")
@@ -18,18 +18,18 @@ def run_export(source: Store, target_root: str, refresh: str = "days") -> dict[s
 
 def run_features(source: Store, *targets: Store) -> dict[str, int]:
     """Daily and per-well features, to one target or to several copies."""
-    daily = materialize(
-        features.features_daily(
-            source.read("production"), source.read("telemetry"), source.read("wells")
-        ),
-        "features-daily",
-    )
-    tables = {"features_daily": daily, "features_by_well": features.features_by_well(daily)}
     counts = {}
-    for target in targets:
-        for name, df in tables.items():
-            counts[name] = replace_counted(target, name, df)
-    drop_scratch(source.spark)
+    with scratch_scope(source.spark):
+        daily = materialize(
+            features.features_daily(
+                source.read("production"), source.read("telemetry"), source.read("wells")
+            ),
+            "features-daily",
+        )
+        tables = {"features_daily": daily, "features_by_well": features.features_by_well(daily)}
+        for target in targets:
+            for name, df in tables.items():
+                counts[name] = replace_counted(target, name, df)
     return counts
 
 
@@ -55,28 +55,27 @@ def run_ml_dataset(source: Store, target: Store) -> int:
 
 def run_production_model(target: Store, **options) -> dict[str, int]:
     """Train on ``ml_dataset``; options as in ``train_production_model``."""
-    made = production_model.train_production_model(target.read("ml_dataset"), **options)
-    counts = {
-        "ml_predictions": replace_counted(target, "ml_predictions", made.predictions),
-        "ml_metrics": replace_counted(target, "ml_metrics", made.metrics),
-    }
-    drop_scratch(target.spark)
-    return counts
+    with scratch_scope(target.spark):
+        made = production_model.train_production_model(target.read("ml_dataset"), **options)
+        return {
+            "ml_predictions": replace_counted(target, "ml_predictions", made.predictions),
+            "ml_metrics": replace_counted(target, "ml_metrics", made.metrics),
+        }
 
 
 def run_failure_model(source: Store, target: Store, **options) -> dict[str, int]:
     """Anomalies, daily risk and metrics; options as in ``train_failure_model``."""
-    made = failure_risk.train_failure_model(
-        source.read("pump_sensors"), source.read("pump_failures"), **options
-    )
-    # The daily table reads the written anomalies instead of scoring again.
-    counts = {
-        "mart_pump_anomalies": replace_counted(target, "mart_pump_anomalies", made.anomalies)
-    }
-    daily = failure_risk.pump_risk_daily(target.read("mart_pump_anomalies"))
-    counts["mart_pump_risk_daily"] = replace_counted(target, "mart_pump_risk_daily", daily)
-    counts["ml_failure_metrics"] = replace_counted(target, "ml_failure_metrics", made.metrics)
-    drop_scratch(source.spark)
+    with scratch_scope(source.spark):
+        made = failure_risk.train_failure_model(
+            source.read("pump_sensors"), source.read("pump_failures"), **options
+        )
+        # The daily table reads the written anomalies instead of scoring again.
+        counts = {
+            "mart_pump_anomalies": replace_counted(target, "mart_pump_anomalies", made.anomalies)
+        }
+        daily = failure_risk.pump_risk_daily(target.read("mart_pump_anomalies"))
+        counts["mart_pump_risk_daily"] = replace_counted(target, "mart_pump_risk_daily", daily)
+        counts["ml_failure_metrics"] = replace_counted(target, "ml_failure_metrics", made.metrics)
     return counts
 
 

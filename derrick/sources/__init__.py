@@ -2,19 +2,19 @@
 
 from derrick.sources.catalog import register, tables_present
 from derrick.sources.export import export_all, export_table
-from derrick.sources.scratch import drop_scratch, materialize, scratch_root
+from derrick.sources.scratch import materialize, scratch_root, scratch_scope
 from derrick.sources.stores import CatalogStore, JdbcStore, ParquetStore, reconcile
 
 __all__ = [
     "CatalogStore",
     "JdbcStore",
     "ParquetStore",
-    "drop_scratch",
     "export_all",
     "export_table",
     "materialize",
     "reconcile",
     "register",
     "scratch_root",
+    "scratch_scope",
     "tables_present",
 ]

@@ -7,11 +7,14 @@ column pruning, and tells Catalyst its true size.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: dict[str, list[str]] = {}
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -29,7 +32,9 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     path = f"{scratch_root(spark)}/{label}-{uuid4().hex}"
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    written = _scope.get()
+    if written is not None:
+        written.append(path)
     return path
 
 
@@ -41,12 +46,18 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession) -> int:
-    """Delete the scratch tables of this application; call it after the final
-    tables are written. Returns how many were dropped."""
-    paths = _written.pop(spark.sparkContext.applicationId, [])
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in paths:
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(conf).delete(folder, True)
-    return len(paths)
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables written inside the block when it ends, so write
+    the final tables inside it. Without a scope they stay for the life of lazy
+    results, and the shared folder's own cleaning takes them."""
+    paths: list[str] = []
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in paths:
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
