@@ -33,7 +33,8 @@ class TableSpec:
 
     @property
     def columns(self) -> list[str]:
-        return self.schema.fieldNames()
+        """Names alone, known without a session."""
+        return [part.split()[0] for part in self.ddl.split(", ")]
 
 
 _WELL = {"well_id": ("wells", "well_id")}

@@ -191,3 +191,19 @@ def iforest_scores(spark, d):
     return scored.select(
         "sensor_id", "pump_id", "sensor_date", "isolation_score", "is_isolation_anomaly"
     )
+
+
+@query(
+    "iforest_flags",
+    """SELECT count(*) AS rows_count, CAST(ceil(0.05 * (count(*) - 1)) AS BIGINT) AS flagged,
+       0::BIGINT AS wrong_sign FROM events""",
+)
+def iforest_flags(spark, d):
+    """The flagged share is exact: the rows below the interpolated 5 % quantile."""
+    readings = sensor_readings(roles.pump_sensors(spark, d))
+    hit, score = F.col("is_isolation_anomaly"), F.col("isolation_score")
+    return isolation_scores(readings, FEATURES, KEY, trees=50).agg(
+        F.count(F.lit(1)).alias("rows_count"),
+        F.count_if(hit).alias("flagged"),
+        F.count_if(hit != (score > 0)).alias("wrong_sign"),
+    )

@@ -8,6 +8,7 @@ from derrick.operators.aggregates import date_ranges, table_counts, union_all
 from derrick.operators.quality import (
     allowed_rules,
     check_foreign_key,
+    check_table,
     check_unique,
     count_rules,
     not_null_rules,
@@ -161,17 +162,49 @@ def tables_present_query(spark, d):
     return table_counts({name.removeprefix("given_"): spark.table(name) for name in found})
 
 
-@query("dq_source_tables")
+# Columns the given tables have no counterpart for.
+_ABSENT = {"production": ("created_at",), "telemetry": ("telemetry_id", "created_at")}
+_CHECKED = ("wells", "production", "telemetry", "pump_sensors", "pump_failures", "deliveries")
+
+
+def _rules_sql(name: str) -> list[str]:
+    """SQL for every rule of a source table."""
+    spec = TABLES[name]
+    columns = [c for c in spec.columns if c not in _ABSENT.get(name, ())]
+    conditions = [("not_null", c, f"{c} IS NULL") for c in columns]
+    for c, (low, high, strict) in spec.ranges.items():
+        broken = [f"{c} {'<=' if strict else '<'} {low}"] if low is not None else []
+        broken += [f"{c} > {high}"] if high is not None else []
+        conditions.append(("range", c, " OR ".join(broken)))
+    for c, values in spec.allowed.items():
+        listed = ", ".join(f"'{v}'" for v in values)
+        conditions.append(("allowed", c, f"{c} NOT IN ({listed})"))
+    out = [
+        f"SELECT '{rule}' AS rule, '{name}' AS table_name, '{c}' AS column_name, "
+        f"count(*) FILTER (WHERE {broken}) AS violations FROM {name}"
+        for rule, c, broken in conditions
+    ]
+    out += [
+        f"SELECT 'unique', '{name}', '{','.join(key)}', count(*) FROM "
+        f"(SELECT 1 FROM {name} GROUP BY {', '.join(key)} HAVING count(*) > 1)"
+        for key in spec.keys
+        if set(key) <= set(columns)
+    ]
+    out += [
+        f"SELECT 'foreign_key', '{name}', '{c}', count(*) FROM {name} x WHERE x.{c} IS NOT NULL "
+        f"AND NOT EXISTS (SELECT 1 FROM {parent} y WHERE y.{key} = x.{c})"
+        for c, (parent, key) in spec.parents.items()
+    ]
+    return out
+
+
+@query(
+    "dq_source_tables",
+    roles.with_roles(
+        " ".join(_CHECKED), " UNION ALL ".join(line for n in _CHECKED for line in _rules_sql(n))
+    ),
+)
 def dq_source_tables(spark, d):
-    """Every rule of the seven source tables on the tables in their shape."""
-    from derrick.operators.quality import check_table
-
-    frames = {
-        "wells": roles.wells(spark, d),
-        "production": roles.production(spark, d),
-        "telemetry": roles.telemetry(spark, d),
-        "pump_sensors": roles.pump_sensors(spark, d),
-        "pump_failures": roles.pump_failures(spark, d),
-        "deliveries": roles.deliveries(spark, d),
-    }
+    """Every rule of the source tables on the given tables in their shape."""
+    frames = {name: getattr(roles, name)(spark, d) for name in _CHECKED}
     return union_all([check_table(df, TABLES[n], frames) for n, df in frames.items()])
