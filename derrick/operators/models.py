@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _VECTOR = "_features"
+# Room for the statistics of the nodes that one pass over the data splits; with
+# too little, a level of the forest takes several passes.
+_NODE_MEMORY_MB = 1024
 
 
 def feature_vector(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -42,7 +45,7 @@ def fit_forest_regressor(
     seed: int = 42,
 ):
     """Every split may use every feature. Depth is bounded (30 at most): each
-    level is a pass over the data."""
+    level is a pass over the data, and rows remember their node meanwhile."""
     return RandomForestRegressor(
         featuresCol=_VECTOR,
         labelCol=target,
@@ -50,6 +53,8 @@ def fit_forest_regressor(
         maxDepth=depth,
         featureSubsetStrategy="all",
         seed=seed,
+        maxMemoryInMB=_NODE_MEMORY_MB,
+        cacheNodeIds=True,
     ).fit(training_set(train, features))
 
 
@@ -80,6 +85,7 @@ def fit_forest_classifier(
         numTrees=trees,
         maxDepth=depth,
         seed=seed,
+        maxMemoryInMB=_NODE_MEMORY_MB,
     ).fit(training_set(balanced_weights(train, label), features))
     # A copy leaves out the training summary, which would travel to every task
     # and cannot once the session has observed a write.

@@ -8,6 +8,7 @@ from derrick.operators.isolation import isolation_scores
 from derrick.operators.models import (
     accuracy,
     balanced_weights,
+    classifier_metrics,
     feature_vector,
     fit_linear,
     predict,
@@ -118,7 +119,8 @@ def reg_metrics(spark, d):
         ranked AS (
             SELECT y, s, rank() OVER (ORDER BY s)
                    + (count(*) OVER (PARTITION BY s) - 1) / 2.0::DOUBLE AS rk FROM t)
-        SELECT {r('avg(CAST(y = CAST(s > 100 AS BIGINT) AS DOUBLE))')} AS accuracy,
+        SELECT 'rule' AS model_name, count(*) AS rows_count, CAST(sum(y) AS BIGINT) AS positive_rows,
+            {r('avg(CAST(y = CAST(s > 100 AS BIGINT) AS DOUBLE))')} AS accuracy,
             {r('''(sum(rk) FILTER (WHERE y = 1) - sum(y) * (sum(y) + 1) / 2.0::DOUBLE)
                 / (sum(y) * (count(*) - sum(y)))''')} AS roc_auc
         FROM ranked""",
@@ -129,11 +131,8 @@ def cls_metrics(spark, d):
         F.round("value").alias("s"),
         (F.round("value") > 100).cast("int").alias("guess"),
     )
-    measured = scored.agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit(accuracy(scored, "y", "guess")).alias("accuracy"),
-        F.lit(roc_auc(scored, "y", "s")).alias("roc_auc"),
-    )
-    return plain(measured)
+    scores = (accuracy(scored, "y", "guess"), roc_auc(scored, "y", "s"))
+    return plain(classifier_metrics(scored, "rule", scores, "y"))
 
 
 @query(
