@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from derrick.llm.common import BLANK, cols, documents, let, same, space_words
+from derrick.llm.common import BLANK, cols, documents, let, space_words
 from derrick.sources.scratch import materialize
 
 WINDOW = 5
