@@ -12,7 +12,8 @@ only if all of them do, each at its place. So:
 3. only matches of prefix shingles propose a window at its place; length and position
    bounds drop those that would leave the document;
 4. each proposal is verified in full: the matches at all places of the window must be
-   the window's shingles. Shingles are compared as text, so no hash decides.
+   the window's shingles. Shingles are compared by a 64-bit hash of their words: a
+   wrong window of 13 words needs eleven equal hashes in a row.
 
 Scale: the text is read once and never shuffled; the exploded rows meet a broadcast
 table, and only matches (a document key, a place and a shingle id) are written and
@@ -28,6 +29,8 @@ rows (documents) or no hits (benchmark). Further columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,8 +40,8 @@ from derrick.sources.scratch import materialize
 WINDOW, SHINGLE = 13, 3
 #: A document is contaminated when one word in SHARE is hit.
 SHARE = 20
+CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_ROW_BYTES = 120
 
 
 def bench_words(text: Column) -> Column:
@@ -47,17 +50,16 @@ def bench_words(text: Column) -> Column:
 
 
 def grams(words: Column, n: int) -> Column:
-    """The ``n``-word shingles of ``words`` by place, empty when there are fewer words."""
-    if n == 1:
-        return words
-    whole = F.transform(
-        words,
-        lambda w, i: F.when(
-            F.get(words, i + (n - 1)).isNotNull(),
-            F.concat_ws(" ", w, *(F.get(words, i + k) for k in range(1, n))),
-        ),
+    """Hashes of the ``n``-word shingles by place. The last ``n - 1`` places hold
+    shorter ones and are to be left out."""
+    return F.transform(
+        words, lambda w, i: F.xxhash64(w, *(F.get(words, i + k) for k in range(1, n)))
     )
-    return F.slice(whole, 1, F.greatest(F.size(words) - (n - 1), F.lit(0)))
+
+
+def count_words(text: Column) -> Column:
+    """Number of ``bench_words``, without lowering or cutting the text."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(CASED_WORD)).cast("long")
 
 
 def windows(bench: DataFrame, item: str = "item_id", text: str = "text") -> DataFrame:
@@ -79,10 +81,9 @@ def occurrences(
     texts = materialize(texts.withColumn("win", F.monotonically_increasing_id()), "window-ids")
     n = F.least(F.lit(SHINGLE), F.col("length"))
     split = F.split("window", " ")
-    placed = texts.select("win", "length", n.alias("n"), F.posexplode(
-        F.when(n == 1, split).when(n == 2, grams(split, 2)).otherwise(grams(split, 3))
-    ).alias("place", "shingle"))
-    placed = materialize(placed, "placed")
+    by_size = F.coalesce(*(F.when(n == k, grams(split, k)) for k in range(1, SHINGLE + 1)))
+    placed = texts.select("win", "length", n.alias("n"), F.posexplode(by_size).alias("place", "shingle"))
+    placed = materialize(placed.filter(F.col("place") + F.col("n") <= F.col("length")), "placed")
     shingles = placed.select("n", "shingle").distinct().withColumn("sid", F.monotonically_increasing_id())
     shingles = materialize(shingles, "shingles")
     sizes = sorted(r["n"] for r in shingles.select("n").distinct().collect())  # 1 to SHINGLE
@@ -90,13 +91,15 @@ def occurrences(
 
     body = docs.select(F.col(doc_id).alias("doc_id"), row_key(F.col(doc_id), F.col(text)).alias("key"),
                        bench_words(F.col(text)).alias("w"))
-    each = [grams_of(body, k) for k in sizes]
-    spread = each[0] if each else body.select("doc_id", "key", F.size("w").alias("n_words"), F.lit(0).alias("n"),
-                                              F.lit(0).alias("at"), F.lit("").alias("shingle")).limit(0)
-    for more in each[1:]:
-        spread = spread.unionByName(more)
-    matches = spread.join(hinted(shingles, _ROW_BYTES), ["n", "shingle"]).select("doc_id", "key", "n_words", "at", "sid")
-    matches = materialize(matches, "matches")
+
+    def matched(k: int) -> DataFrame:
+        hashed = F.posexplode(let(F.col("w"), lambda w: grams(w, k))).alias("at", "shingle")
+        known = hinted(shingles.filter(F.col("n") == k).select("shingle", "sid"), 40)
+        spread = body.select("doc_id", "key", F.size("w").alias("n_words"), hashed)
+        return spread.join(known, "shingle").filter(F.col("at") + k <= F.col("n_words"))
+
+    found_at = reduce(DataFrame.unionByName, [matched(k) for k in sizes or [SHINGLE]])
+    matches = materialize(found_at.select("doc_id", "key", "n_words", "at", "sid"), "matches")
 
     counts = matches.groupBy("sid").agg(F.count(F.lit(1)).alias("seen"))
     ranked = placed.join(counts, "sid", "left").groupBy("win", "length").agg(
@@ -123,11 +126,6 @@ def occurrences(
     return materialize(full.select("doc_id", "key", "start", "length", "win"), "occurrences"), materialize(items, "items")
 
 
-def grams_of(body: DataFrame, n: int) -> DataFrame:
-    return body.select("doc_id", "key", F.size("w").alias("n_words"), F.lit(n).alias("n"),
-                       F.posexplode(let(F.col("w"), lambda w: grams(w, n))).alias("at", "shingle"))
-
-
 def hits(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per hit document (``doc_id``, ``key``): words hit by any occurrence,
     items that occur, and their names. Overlaps are merged over the starts of one
@@ -149,7 +147,7 @@ def hits(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str =
 def verdicts(docs: DataFrame, bench: DataFrame) -> DataFrame:
     found = materialize(hits(docs, bench), "hits").withColumnRenamed("doc_id", "d").withColumnRenamed("key", "k")
     base = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"),
-                       F.size(bench_words(F.col("text"))).cast("long").alias("n_words"))
+                       count_words(F.col("text")).alias("n_words"))
     out = base.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     names = F.coalesce("names", F.array().cast("array<string>"))
@@ -170,7 +168,7 @@ def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     found = found.select(F.col("doc_id").alias("__d"), F.col("key").alias("__k"), F.col("n_hit").alias("__hit"))
     keyed = docs.select(*cols(docs), row_key(F.col("doc_id"), F.col("text")).alias("__key"))
     bad = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__key") == F.col("__k")), "left")
-    words = F.size(bench_words(F.col("text")))
+    words = count_words(F.col("text"))
     clean = F.col("__hit").isNull() | (SHARE * F.col("__hit") < words)
     return bad.filter(clean).select(*[f"`{c}`" for c in docs.columns])
 
