@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from derrick.llm import decontaminate, mix_curriculum, quality_hosts
+from derrick.llm import decontaminate, jaccard_metric, line_dedup, mix_curriculum, quality_hosts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_curriculum": mix_curriculum.op2_mix_curriculum,
     "op3_quality_hosts": quality_hosts.op3_quality_hosts,
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op6_jaccard_metric": jaccard_metric.op6_jaccard_metric,
+    "op7_line_dedup": line_dedup.op7_line_dedup,
 }
 SQL: dict[str, str] = {
     "op2_mix_curriculum": mix_curriculum.SQL,
     "op3_quality_hosts": quality_hosts.SQL,
     "op4_decontaminate": decontaminate.SQL,
+    "op7_line_dedup": line_dedup.SQL,
 }
