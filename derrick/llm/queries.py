@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from derrick.llm import decontaminate, jaccard_metric, line_dedup, mix_curriculum, quality_hosts, toxicity_mil
+from derrick.llm import (
+    brown_lm,
+    decontaminate,
+    html_mincut,
+    jaccard_metric,
+    line_dedup,
+    mix_curriculum,
+    quality_hosts,
+    toxicity_mil,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_curriculum": mix_curriculum.op2_mix_curriculum,
@@ -14,7 +23,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op6_jaccard_metric": jaccard_metric.op6_jaccard_metric,
     "op7_line_dedup": line_dedup.op7_line_dedup,
+    "op8_html_mincut": html_mincut.op8_html_mincut,
     "op9_toxicity_mil": toxicity_mil.op9_toxicity_mil,
+    "op10_brown_lm": brown_lm.op10_brown_lm,
 }
 SQL: dict[str, str] = {
     "op2_mix_curriculum": mix_curriculum.SQL,
