@@ -14,10 +14,12 @@ from derrick.llm import (
     line_dedup,
     mix_curriculum,
     quality_hosts,
+    secret_cnn,
     toxicity_mil,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_cnn": secret_cnn.op1_secret_cnn,
     "op2_mix_curriculum": mix_curriculum.op2_mix_curriculum,
     "op3_quality_hosts": quality_hosts.op3_quality_hosts,
     "op4_decontaminate": decontaminate.op4_decontaminate,
