@@ -15,6 +15,7 @@ from derrick.llm import (
     mix_curriculum,
     quality_hosts,
     secret_cnn,
+    token_spans,
     toxicity_mil,
 )
 
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mix_curriculum": mix_curriculum.op2_mix_curriculum,
     "op3_quality_hosts": quality_hosts.op3_quality_hosts,
     "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op5_token_spans": token_spans.op5_token_spans,
     "op6_jaccard_metric": jaccard_metric.op6_jaccard_metric,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_html_mincut": html_mincut.op8_html_mincut,
