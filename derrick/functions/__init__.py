@@ -13,7 +13,9 @@ from derrick.functions.numeric import (
     band,
     clamp,
     in_range_or_false,
+    measure,
     per_unit,
+    round_exact,
     round_half_even,
     round_half_up,
     row_max_abs,
@@ -29,8 +31,10 @@ __all__ = [
     "days_until",
     "fraction_hash",
     "in_range_or_false",
+    "measure",
     "parse_timestamp",
     "per_unit",
+    "round_exact",
     "round_half_even",
     "round_half_up",
     "row_max_abs",

@@ -4,13 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-# Half a unit of the ninth place: absorbs the noise a double sum picks up when
-# partitions merge in a different order.
-_NOISE = 0.5e-9
-
+from pyspark.sql.types import DecimalType
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -31,14 +27,26 @@ def valid(c: Column | str) -> Column:
 def round_half_up(c: Column | str, digits: int = 2) -> Column:
     """SQL ``ROUND(numeric, n)``: ties go away from zero; NaN becomes null.
 
-    The value is moved off a tie by far less than it could mean and rounded to
-    the nearest, which stays in double arithmetic (a wide decimal would be an
-    object per value). Adding zero turns -0 into 0.
+    A measure is rounded as the decimal of nine places it stands for, which takes off
+    the noise of a double sum; one too large for that (from 1e29) has no such places.
+    Adding zero turns -0 into 0. For decimals see :func:`round_exact`.
     """
-    x = _col(c).cast("double")
-    scale = float(10**digits)
-    moved = x * (scale * (1 + 2.0**-51)) + F.signum(x) * (_NOISE * scale)
-    return F.nanvl(F.rint(moved) / scale + 0.0, F.lit(None).cast("double"))
+    x = valid(c)
+    exact = F.round(x.try_cast("decimal(38,9)"), digits).cast("double")
+    return F.coalesce(exact, x) + 0.0
+
+
+def round_exact(df: DataFrame, c: Column | str, source: str, digits: int = 2) -> Column:
+    """``c``, an aggregate of the column ``source``, rounded half up: as a decimal if
+    ``source`` is one, else as :func:`round_half_up`."""
+    if isinstance(df.schema[source].dataType, DecimalType):
+        return F.round(_col(c), digits)
+    return round_half_up(c, digits)
+
+
+def measure(df: DataFrame, c: str) -> Column:
+    """The column for exact arithmetic: a decimal as it is, others as a valid double."""
+    return F.col(c) if isinstance(df.schema[c].dataType, DecimalType) else valid(c)
 
 
 def round_half_even(c: Column | str, digits: int = 2) -> Column:

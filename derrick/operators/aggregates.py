@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
-from derrick.functions import per_unit, round_half_up, to_day, valid
+from derrick.functions import measure, per_unit, round_exact, round_half_up, to_day, valid
 
 
 def group_means(df: DataFrame, keys: Sequence[str], means: Mapping[str, str]) -> DataFrame:
@@ -33,15 +34,22 @@ def service_kpi(
     count: str = "deliveries_count",
     digits: int = 2,
 ) -> DataFrame:
-    """Rounded count, means, maxima, means of row ratios and sums per key."""
+    """Rounded count, means, maxima, means of row ratios and sums per key. Decimal
+    columns are summed, averaged and divided as decimals, others as doubles."""
+
+    def rounded(agg: Callable[[Column], Column], c: str) -> Column:
+        return round_exact(df, agg(measure(df, c)), c, digits)
+
+    def ratio(a: str, b: str) -> Column:
+        if {type(df.schema[c].dataType) for c in (a, b)} == {DecimalType}:
+            return F.round(F.avg(F.col(a) / F.nullif(F.col(b), F.lit(0))), digits)
+        return round_half_up(F.avg(per_unit(valid(a), b)), digits)
+
     aggs = [F.count(F.lit(1)).alias(count)]
-    aggs += [round_half_up(F.avg(valid(c)), digits).alias(n) for n, c in means.items()]
-    aggs += [round_half_up(F.max(valid(c)), digits).alias(n) for n, c in maxima.items()]
-    aggs += [
-        round_half_up(F.avg(per_unit(valid(a), b)), digits).alias(n)
-        for n, (a, b) in ratios.items()
-    ]
-    aggs += [round_half_up(F.sum(valid(c)), digits).alias(n) for n, c in sums.items()]
+    aggs += [rounded(F.avg, c).alias(n) for n, c in means.items()]
+    aggs += [rounded(F.max, c).alias(n) for n, c in maxima.items()]
+    aggs += [ratio(a, b).alias(n) for n, (a, b) in ratios.items()]
+    aggs += [rounded(F.sum, c).alias(n) for n, c in sums.items()]
     return df.groupBy(key).agg(*aggs)
 
 

@@ -30,7 +30,7 @@ def impute_median(
     gaps = [c for c in columns if sizes[c].missing and sizes[c].rows]
     if not gaps:
         return df
-    medians = exact_quantiles(df, gaps, [0.5], sizes)
+    medians = exact_quantiles(df, gaps, [0.5])
     return df.withColumns({c: F.coalesce(valid(c), F.lit(medians[c][0])) for c in gaps})
 
 
@@ -38,9 +38,8 @@ def iqr_bounds(
     df: DataFrame,
     column: str,
     k: float = 1.5,
-    sizes: Mapping[str, ColumnSize] | None = None,
 ) -> tuple[float, float] | None:
-    q1, q3 = exact_quantiles(df, [column], [0.25, 0.75], sizes)[column]
+    q1, q3 = exact_quantiles(df, [column], [0.25, 0.75])[column]
     if q1 is None or q3 is None:
         return None
     reach = k * (q3 - q1)
@@ -63,7 +62,7 @@ def filter_iqr(
     columns = _existing(df, columns)
     sizes = column_sizes(df, columns) if sizes is None else sizes
     for c in columns:
-        bounds = iqr_bounds(df, c, k, sizes)
+        bounds = iqr_bounds(df, c, k)
         if bounds:
             inside = F.col(c).between(*map(F.lit, bounds))
             df = df.filter(inside | absent(c) if sizes[c].missing else inside)

@@ -12,6 +12,7 @@ import math
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -108,30 +109,27 @@ def anomaly_scores(
 def tree_samples(
     df: DataFrame, features: Sequence[str], keys: Sequence[str], rows: int, trees: int, seed: int
 ) -> DataFrame:
-    """(tree, place, features): a little more than ``SAMPLE`` rows per tree.
+    """(tree, place, times, features): a little more than ``SAMPLE`` rows per tree.
 
-    With many rows, one hash thins the table to about twice the rows all trees
-    need and a second deals them out, so no row is copied. With few, trees have
-    to share rows, and each tree thins the table by a hash of its own. Either
-    way what is left is bounded by the number of trees.
+    Every tree draws every row with one probability. As a draw is rare in a large table,
+    one hash serves a stratum of trees: it names the tree of the stratum that draws the
+    row, if any. A stratum has as many trees as the probability allows, so a large table
+    takes one hash per row and no copies, a small one several, by the same rule. Rows
+    that share a key are one draw that counts as often as they occur.
     """
-    pool = trees * SAMPLE * 2
+    share = min(1.0, (SAMPLE + 8 * math.sqrt(SAMPLE)) / max(rows, 1))
+    width = min(trees, math.floor(1 / share))
+    strata = F.sequence(F.lit(0), F.lit(-(-trees // width) - 1))
     values = [valid(c).alias(c) for c in features]
-    if rows > pool:
-        thinned = df.filter(fraction_hash(keys, seed) < pool / rows)
-        tree = F.pmod(F.xxhash64(F.lit(seed + 1), *keys), F.lit(trees)).cast("int")
-        dealt = thinned.select(
-            tree.alias("tree"), split_hash(keys, seed + 2).alias("place"), *values
-        )
-    else:
-        share = min(1.0, (SAMPLE + 8 * math.sqrt(SAMPLE)) / max(rows, 1))
-        every = F.sequence(F.lit(0), F.lit(trees - 1))
-        copied = df.select(*keys, *values, F.explode(every).alias("tree"))
-        dealt = copied.select(
-            "tree", split_hash(keys, seed, F.col("tree")).alias("place"), *features
-        ).filter(F.col("place") < F.lit(share * float(1 << 53)))
-    # Copies of one key collapse before the shuffle, so no tree's group can grow.
-    return dealt.dropDuplicates(["tree", "place"])
+    spread = df.select(*keys, *values, F.explode(strata).alias("stratum"))
+    within = F.floor(fraction_hash(keys, seed, F.col("stratum")) / share).cast("int")
+    tree = F.col("stratum") * width + within
+    drawn = spread.select(
+        tree.alias("tree"), within.alias("within"), *keys, *features
+    ).filter((F.col("within") < width) & (F.col("tree") < trees))
+    placed = drawn.withColumn("place", split_hash(keys, seed + 1, F.col("tree")))
+    firsts = [F.min(c).alias(c) for c in features]
+    return placed.groupBy("tree", "place").agg(F.count(F.lit(1)).alias("times"), *firsts)
 
 
 def fit_forest(
@@ -142,15 +140,17 @@ def fit_forest(
     seed: int = 42,
     rows: int | None = None,
 ) -> Forest:
-    """Grow the forest; ``keys`` must identify a row."""
+    """Grow the forest from the rows that have all measures; ``keys`` identify a row."""
+    df = df.filter(complete(features))
     rows = df.count() if rows is None else rows
     columns = list(features)
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         tree = int(group["tree"].iloc[0])
         sample = group.sort_values("place").head(SAMPLE)
+        sample = sample.loc[sample.index.repeat(sample["times"].clip(upper=SAMPLE))].head(SAMPLE)
         rng = np.random.default_rng([seed, tree])
-        points = np.nan_to_num(sample[columns].to_numpy(dtype=float))
+        points = sample[columns].to_numpy(dtype=float)
         feature, threshold, path = grow_tree(points, rng)
         return pd.DataFrame(
             {"tree": [tree], "feature": [feature], "threshold": [threshold], "path": [path]}
@@ -171,6 +171,11 @@ def fit_forest(
     )
 
 
+def complete(features: Sequence[str]) -> Column:
+    """True where no measure is missing."""
+    return reduce(Column.__and__, (valid(c).isNotNull() for c in features))
+
+
 def score_column(df: DataFrame, features: Sequence[str], forest: Forest) -> Column:
     """Score expression; only the feature columns travel to Python."""
     # Plain arrays: a broadcast value is unpickled before any code is shipped.
@@ -182,8 +187,9 @@ def score_column(df: DataFrame, features: Sequence[str], forest: Forest) -> Colu
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         model = shared.value
         for batch in batches:
-            points = np.nan_to_num(batch.to_numpy(dtype=float))
-            yield pd.Series(anomaly_scores(points, *model))
+            points = batch.to_numpy(dtype=float)
+            scores = anomaly_scores(np.nan_to_num(points), *model)
+            yield pd.Series(np.where(np.isnan(points).any(axis=1), np.nan, scores))
 
     return score(F.struct(*(valid(c).alias(c) for c in features)))
 
@@ -201,21 +207,22 @@ def isolation_scores(
     """Flag the ``contamination`` share of rows that are easiest to isolate.
 
     ``isolation_score`` is the offset minus the row's score, positive for
-    flagged rows. Scores are written once, then read for the exact threshold and
-    for the result.
+    flagged rows. A row without all measures has no score and no flag, and grows no
+    tree. Scores are written once, then read for the exact threshold and for the result.
     """
-    if df.isEmpty():
+    rows = df.filter(complete(features)).count()
+    if not rows:
         return df.withColumns(
             {
                 score_column_name: F.lit(None).cast("double"),
                 flag_column: F.lit(False),
             }
         )
-    forest = fit_forest(df, features, keys, trees, seed)
-    scored = materialize(df.withColumn("_score", score_column(df, features, forest)), "isolation")
+    forest = fit_forest(df, features, keys, trees, seed, rows)
+    scored = materialize(df.withColumn("_score", valid(score_column(df, features, forest))), "isolation")
     offset = exact_quantiles(scored, ["_score"], [contamination])["_score"][0]
     return scored.select(
         *df.columns,
         (F.lit(offset) - F.col("_score")).alias(score_column_name),
-        (F.col("_score") < F.lit(offset)).alias(flag_column),
+        F.coalesce(F.col("_score") < F.lit(offset), F.lit(False)).alias(flag_column),
     )

@@ -9,19 +9,6 @@ from pyspark.sql import functions as F
 
 from derrick.functions import days_until, in_range_or_false, to_day
 
-# Rows a task may hold of a narrow table of keys.
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only after counting; a larger table keeps the shuffle join.
-
-    Meant for narrow key tables whose size Catalyst cannot guess because they
-    come out of a filter or an aggregate.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def attach_dimension(fact: DataFrame, dimension: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join of a fact with attributes; no hint, so Catalyst broadcasts the
     dimension only if its measured size allows."""
@@ -57,7 +44,7 @@ def pre_event_label(
     becomes a plain equi-join that never multiplies readings.
     """
     marks = event_days(events, entity, event_ts, days, day).withColumn("_hit", F.lit(1))
-    joined = readings.join(broadcast_if_small(marks), [entity, day], "left")
+    joined = readings.join(marks, [entity, day], "left")
     return joined.withColumn(label, F.coalesce("_hit", F.lit(0))).drop("_hit")
 
 
@@ -96,7 +83,7 @@ def interval_exists(
     hit = F.col("_whole") | (F.col(ts) >= F.col("_from")) | (F.col(ts) <= F.col("_until"))
     return (
         readings.withColumn("_day", to_day(ts))
-        .join(broadcast_if_small(cover), [entity, "_day"], "left")
+        .join(cover, [entity, "_day"], "left")
         .withColumn(flag, F.coalesce(hit, F.lit(False)))
         .drop("_day", "_whole", "_from", "_until")
     )
@@ -112,7 +99,8 @@ def attach_events(
 ) -> DataFrame:
     """Left join with fan-out: one row per day and event of the same entity.
 
-    ``days_before_failure`` counts whole days to the event (negative after it),
+    The output has days x events rows per entity, as this join is defined; adaptive
+    execution splits an entity with many days. ``days_before_failure`` counts whole days to the event (negative after it),
     ``failure_window_7d`` marks 0..window_days of them, ``has_failure`` a match.
     """
     before = days_until(day, event_ts)

@@ -16,24 +16,31 @@ _VECTOR = "_features"
 # Room for the statistics of the nodes that one pass over the data splits; with
 # too little, a level of the forest takes several passes.
 _NODE_MEMORY_MB = 1024
+#: Partitions a training set is dealt to, whatever the cluster: more executors than
+#: this do not shorten a training. Part of the model, like its seed.
+TRAIN_PARTITIONS = 64
+#: Deepest tree the engine grows, and the most values a split tells apart.
+MAX_DEPTH, MAX_BINS = 30, 32
 
 
 def feature_vector(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=_VECTOR).transform(df)
 
 
-def training_set(train: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Training reads its rows again and again, so every core gets a share."""
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    spread = train if train.rdd.getNumPartitions() >= cores else train.repartition(cores)
-    return feature_vector(spread, features)
+def training_set(train: DataFrame, features: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The columns a training reads, in a fixed number of partitions by row
+    hash and in a fixed order, as bagging and bin sampling are seeded per partition. So
+    the same rows give the same model on any cluster and in any input order."""
+    rows = train.select(*features, *columns)
+    spread = rows.repartition(TRAIN_PARTITIONS, F.xxhash64(*rows.columns))
+    return feature_vector(spread.sortWithinPartitions(*rows.columns), features)
 
 
 def fit_linear(train: DataFrame, features: Sequence[str], target: str):
     """Ordinary least squares with intercept."""
     return LinearRegression(
         featuresCol=_VECTOR, labelCol=target, regParam=0.0, solver="normal"
-    ).fit(training_set(train, features))
+    ).fit(training_set(train, features, [target]))
 
 
 def fit_forest_regressor(
@@ -41,33 +48,34 @@ def fit_forest_regressor(
     features: Sequence[str],
     target: str,
     trees: int = 100,
-    depth: int = 10,
+    depth: int = MAX_DEPTH,
     seed: int = 42,
+    bins: int = MAX_BINS,
 ):
-    """Every split may use every feature. Depth is bounded (30 at most): each
-    level is a pass over the data, and rows remember their node meanwhile."""
+    """Every split may use every feature. Trees grow until their leaves are pure or as
+    deep as the engine allows (30): each level is a pass over the data, and rows remember
+    their node meanwhile. ``bins`` bounds the candidate cuts of a feature."""
     return RandomForestRegressor(
         featuresCol=_VECTOR,
         labelCol=target,
         numTrees=trees,
         maxDepth=depth,
+        maxBins=bins,
         featureSubsetStrategy="all",
         seed=seed,
         maxMemoryInMB=_NODE_MEMORY_MB,
         cacheNodeIds=True,
-    ).fit(training_set(train, features))
+    ).fit(training_set(train, features, [target]))
 
 
 def balanced_weights(train: DataFrame, label: str, weight: str = "_weight") -> DataFrame:
-    """Weight rows / (classes * class rows), from the training rows; the class
-    counts are a handful of rows."""
-    lines = train.groupBy(label).count().collect()
-    rows = sum(r["count"] for r in lines)
-    expr = F.lit(1.0)
-    for r in lines:
-        share = rows / (len(lines) * r["count"])
-        expr = F.when(F.col(label) == F.lit(r[label]), F.lit(share)).otherwise(expr)
-    return train.withColumn(weight, expr)
+    """Weight rows / (classes * class rows), from the training rows. The counts are
+    joined back, so there may be any number of classes; a null label is one."""
+    counts = train.groupBy(F.col(label).alias("_class")).agg(F.count(F.lit(1)).alias("_n"))
+    rows, classes = counts.agg(F.sum("_n"), F.count(F.lit(1))).first()
+    share = F.lit(float(rows or 0)) / (F.lit(float(classes or 1)) * F.col("_n"))
+    weights = counts.select("_class", share.alias(weight))
+    return train.join(weights, F.col(label).eqNullSafe(F.col("_class")), "left").drop("_class")
 
 
 def fit_forest_classifier(
@@ -77,16 +85,19 @@ def fit_forest_classifier(
     trees: int = 200,
     depth: int = 6,
     seed: int = 42,
+    bins: int = MAX_BINS,
 ):
+    weighted = balanced_weights(train, label)
     model = RandomForestClassifier(
         featuresCol=_VECTOR,
         labelCol=label,
         weightCol="_weight",
         numTrees=trees,
         maxDepth=depth,
+        maxBins=bins,
         seed=seed,
         maxMemoryInMB=_NODE_MEMORY_MB,
-    ).fit(training_set(balanced_weights(train, label), features))
+    ).fit(training_set(weighted, features, [label, "_weight"]))
     # A copy leaves out the training summary, which would travel to every task
     # and cannot once the session has observed a write.
     return model.copy()

@@ -1,59 +1,49 @@
 """Exact quantiles and order statistics of whole columns.
 
-The built-in exact ``percentile`` gathers every distinct value in one task, and
-from every input task a table of its own. Here rows are first counted per
-distinct value (map-side combined, shuffled by value), and ``percentile`` sees
-that short table only, if the column has few distinct values, as two-decimal
-measures do. A column with many is first narrowed: a sketch proposes a bracket
-around the wanted rank, an exact count confirms it, and this repeats until the
-bracket holds few enough distinct values. Only the answers reach the driver.
+A rank is found by narrowing: the present values are counted into cells of a
+monotone function, the cell that holds the rank becomes the next range, and this
+repeats until that cell holds one value. The first cells are half octaves, so any
+spread of magnitudes is cut well; the following ones are equal parts of the cell's
+own smallest and largest value. Two or three passes are usual whatever the number of
+rows, all columns together. A pass is one aggregate with map-side combine over at
+most ``CELLS`` cells per wanted rank; cells, not values, reach the driver.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from derrick.functions import valid
 
-# Most distinct values of one column that a single task may rank.
-DISTINCT_LIMIT = 200_000
-_SKETCH = 10_000
-_ESTIMATE_ERROR = 0.05
+CELLS = 4096
+_FIRST_RANGE = 5000  # beyond any half octave of a double
 
 
 class ColumnSize(NamedTuple):
     rows: int  # with a value
-    distinct: int  # estimated
     missing: int  # null or NaN
 
 
+class Place(NamedTuple):
+    """The value at a rank, and where its equals lie among the sorted values."""
+
+    value: float
+    below: int
+    equal: int
+
+
 @dataclass(frozen=True)
-class _Target:
-    """One wanted rank of one column, inside the bracket [low, high]."""
-
-    column: str
-    rank: int
-    low: float | None = None
-    high: float | None = None
-    below: int = 0
-    rows: int = 0
-    distinct: int = 0
-    slack: float = 2.0 / _SKETCH
-
-    def inside(self, x: Column) -> Column:
-        keep = x.isNotNull()
-        if self.low is not None:
-            keep &= x >= F.lit(self.low)
-        if self.high is not None:
-            keep &= x <= F.lit(self.high)
-        return keep
+class _Cell:
+    low: float
+    high: float
+    below: int
+    rows: int
 
 
 def column_sizes(df: DataFrame, columns: Iterable[str]) -> dict[str, ColumnSize]:
@@ -61,152 +51,106 @@ def column_sizes(df: DataFrame, columns: Iterable[str]) -> dict[str, ColumnSize]
     names = list(columns)
     if not names:
         return {}
-    aggs = [F.count(F.lit(1)).alias("all")]
-    for i, c in enumerate(names):
-        x = valid(c)
-        aggs += [
-            F.count(x).alias(f"n{i}"),
-            F.approx_count_distinct(x, _ESTIMATE_ERROR).alias(f"d{i}"),
-        ]
-    row = df.agg(*aggs).first()
-    return {
-        c: ColumnSize(row[f"n{i}"], row[f"d{i}"], row["all"] - row[f"n{i}"])
-        for i, c in enumerate(names)
-    }
-
-
-def _value_counts(df: DataFrame, values: Mapping[str, Column]) -> DataFrame:
-    """(name, value, rows) with one line per distinct value of each column."""
-    pairs = [
-        F.struct(F.lit(name).alias("name"), x.cast("double").alias("value"))
-        for name, x in values.items()
-    ]
-    pair = pairs[0] if len(pairs) == 1 else F.explode(F.array(*pairs))
+    counts = [F.count(valid(c)).alias(f"n{i}") for i, c in enumerate(names)]
+    row = df.agg(F.count(F.lit(1)).alias("all"), *counts).first()
+    return {c: ColumnSize(row[f"n{i}"], row["all"] - row[f"n{i}"]) for i, c in enumerate(names)}
+
+
+def _half_octave(x: Column) -> Column:
+    """Monotone cell number of any double: sign and half octaves of the size."""
+    size = F.floor(2 * F.log2(F.abs(x))) + F.lit(2 * 1080)
+    far = F.least(size, F.lit(_FIRST_RANGE - 1)).cast("int")
     return (
-        df.select(pair.alias("p"))
-        .select("p.name", "p.value")
-        .filter(F.col("value").isNotNull())
-        .groupBy("name", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
+        F.when(x == 0, F.lit(0))
+        .when(F.abs(x) == F.lit(math.inf), F.signum(x).cast("int") * _FIRST_RANGE)
+        .otherwise(F.signum(x).cast("int") * far)
     )
 
 
-def _ranked(counts: DataFrame) -> DataFrame:
-    """Add for each value the ranks [first, upto) its rows take."""
-    ordered = Window.partitionBy("name").orderBy("value")
-    return counts.select(
-        "name",
-        "value",
-        F.sum("rows").over(ordered).alias("upto"),
-        (F.sum("rows").over(ordered) - F.col("rows")).alias("first"),
-        F.sum("rows").over(Window.partitionBy("name")).alias("total"),
+def _part(x: Column, cell: _Cell) -> Column:
+    """Number of the equal part of the cell in which ``x`` lies; null outside."""
+    low, high = F.lit(cell.low), F.lit(cell.high)
+    return F.when(
+        x.between(low, high), F.floor((x - low) / (high - low) * CELLS).cast("int")
     )
 
 
-def _holds(rank: Column) -> Column:
-    return (F.col("first") <= rank) & (rank < F.col("upto"))
-
-
-def _narrow(df: DataFrame, targets: list[_Target]) -> list[_Target]:
-    """One round: propose brackets from a sketch, then count them exactly."""
-    aggs = []
-    for i, t in enumerate(targets):
-        x = valid(t.column)
-        p = (t.rank - t.below + 0.5) / t.rows
-        ends = [max(p - t.slack, 0.0), min(p + t.slack, 1.0)]
-        aggs.append(
-            F.percentile_approx(F.when(t.inside(x), x), ends, _SKETCH).alias(f"e{i}")
-        )
-    ends = df.agg(*aggs).first()
-
-    proposals = []
-    for i, t in enumerate(targets):
-        p = (t.rank - t.below + 0.5) / t.rows
-        low = t.low if p <= t.slack else ends[f"e{i}"][0]
-        high = t.high if p >= 1 - t.slack else ends[f"e{i}"][1]
-        proposals.append(_Target(t.column, t.rank, low, high, slack=t.slack))
-
-    aggs = []
-    for i, t in enumerate(proposals):
-        x = valid(t.column)
-        under = F.lit(False) if t.low is None else x < F.lit(t.low)
-        aggs += [
-            F.count_if(under).alias(f"b{i}"),
-            F.count_if(t.inside(x)).alias(f"n{i}"),
-            F.approx_count_distinct(F.when(t.inside(x), x), _ESTIMATE_ERROR).alias(f"d{i}"),
-        ]
-    got = df.agg(*aggs).first()
-
-    out = []
-    for i, (old, new) in enumerate(zip(targets, proposals)):
-        below, rows = got[f"b{i}"], got[f"n{i}"]
-        if below <= old.rank < below + rows:
-            out.append(
-                _Target(new.column, new.rank, new.low, new.high, below, rows, got[f"d{i}"])
-            )
-        else:
-            # The sketch missed: keep the proven bracket and look wider.
-            out.append(
-                _Target(
-                    old.column, old.rank, old.low, old.high, old.below, old.rows,
-                    old.distinct, old.slack * 4,
-                )
-            )
+def _count(df: DataFrame, asked: Sequence[tuple[Column, Column]]) -> list[dict[int, _Cell]]:
+    """Cells with rows, per (value, cell number) pair; ``below`` counts from the pair's
+    own first cell."""
+    marks = [
+        F.struct(F.lit(i).alias("i"), cell.alias("cell"), x.alias("x"))
+        for i, (x, cell) in enumerate(asked)
+    ]
+    mark = marks[0] if len(marks) == 1 else F.explode(F.array(*marks))
+    rows = (
+        df.select(mark.alias("m"))
+        .select("m.*")
+        .filter("cell IS NOT NULL")
+        .groupBy("i", "cell")
+        .agg(F.min("x").alias("low"), F.max("x").alias("high"), F.count(F.lit(1)).alias("rows"))
+        .collect()
+    )
+    out: list[dict[int, _Cell]] = [{} for _ in asked]
+    below = [0] * len(asked)
+    for r in sorted(rows, key=lambda r: (r["i"], r["cell"])):
+        out[r["i"]][r["cell"]] = _Cell(r["low"], r["high"], below[r["i"]], r["rows"])
+        below[r["i"]] += r["rows"]
     return out
 
 
-def order_statistics(
-    df: DataFrame,
-    ranks: Mapping[str, Iterable[int]],
-    sizes: Mapping[str, ColumnSize] | None = None,
-    distinct_limit: int = DISTINCT_LIMIT,
-) -> dict[str, dict[int, float]]:
-    """Values at zero-based ranks of each column's present values.
-
-    ``sizes`` (from :func:`column_sizes`) saves the first pass if known.
-    """
-    sizes = sizes or column_sizes(df, ranks)
-    targets = [
-        _Target(c, r, rows=sizes[c].rows, distinct=sizes[c].distinct)
-        for c, wanted in ranks.items()
-        for r in sorted(set(wanted))
-    ]
-    settled = [t for t in targets if t.distinct <= distinct_limit]
-    open_ = [t for t in targets if t.distinct > distinct_limit]
+def _holding(cells: Mapping[int, _Cell], rank: int) -> _Cell:
+    return next(c for c in cells.values() if c.below <= rank < c.below + c.rows)
+
+
+class Places(NamedTuple):
+    rows: dict[str, int]  # present values of each column
+    at: dict[str, dict[int, Place]]
+
+
+def places(
+    df: DataFrame, columns: Sequence[str], ranks: Callable[[str, int], Iterable[int]]
+) -> Places:
+    """The values at ``ranks(column, rows)``, zero-based among a column's present
+    values; ranks beyond the last value are an error."""
+    columns = list(dict.fromkeys(columns))
+    out = Places({}, {c: {} for c in columns})
+    if not columns:
+        return out
+    values = {c: valid(c) for c in columns}
+    first = _count(df, [(x, F.when(x.isNotNull(), _half_octave(x))) for x in values.values()])
+    # (column, rank) -> the cell that holds it, ``below`` from the column's start.
+    open_: dict[tuple[str, int], _Cell] = {}
+    for c, cells in zip(columns, first):
+        rows = out.rows[c] = sum(cell.rows for cell in cells.values())
+        asked = set(ranks(c, rows))
+        if asked and not 0 <= min(asked) <= max(asked) < rows:
+            raise IndexError(f"{c} has {rows} values, asked for ranks up to {max(asked)}")
+        open_ |= {(c, r): _holding(cells, r) for r in asked}
     while open_:
-        open_ = _narrow(df, open_)
-        settled += [t for t in open_ if t.distinct <= distinct_limit]
-        open_ = [t for t in open_ if t.distinct > distinct_limit]
-
-    # Ranks that share a bracket share its count table.
-    groups: dict[tuple, list[_Target]] = {}
-    for t in settled:
-        groups.setdefault((t.column, t.low, t.high), []).append(t)
-    if not groups:
-        return {c: {} for c in ranks}
-    named = {str(i): members for i, members in enumerate(groups.values())}
-    values = {
-        name: F.when(members[0].inside(valid(members[0].column)), valid(members[0].column))
-        for name, members in named.items()
-    }
-    wanted = F.lit(False)
-    for name, members in named.items():
-        for t in members:
-            wanted |= (F.col("name") == name) & _holds(F.lit(t.rank - t.below))
-    found = _ranked(_value_counts(df, values)).filter(wanted).collect()
-
-    out: dict[str, dict[int, float]] = {c: {} for c in ranks}
-    for name, members in named.items():
-        for t in members:
-            local = t.rank - t.below
-            out[t.column][t.rank] = next(
-                r["value"]
-                for r in found
-                if r["name"] == name and r["first"] <= local < r["upto"]
-            )
+        for (c, rank), cell in list(open_.items()):
+            if cell.low == cell.high:
+                out.at[c][rank] = Place(cell.low, cell.below, cell.rows)
+                del open_[c, rank]
+        ranges = list(dict.fromkeys((c, cell) for (c, _), cell in open_.items()))
+        if not ranges:
+            break
+        found = _count(df, [(values[c], _part(values[c], cell)) for c, cell in ranges])
+        inner = dict(zip(ranges, found))
+        for (c, rank), cell in list(open_.items()):
+            part = _holding(inner[c, cell], rank - cell.below)
+            open_[c, rank] = _Cell(part.low, part.high, cell.below + part.below, part.rows)
     return out
 
 
+def order_statistics(
+    df: DataFrame, ranks: Mapping[str, Iterable[int]]
+) -> dict[str, dict[int, float]]:
+    """Values at zero-based ranks of each column's present values."""
+    found = places(df, list(ranks), lambda c, rows: ranks[c])
+    return {c: {r: p.value for r, p in at.items()} for c, at in found.at.items()}
+
+
 def _interpolate(low: float, high: float, part: float) -> float:
     # The form that stays monotone when part is close to one.
     step = high - low
@@ -214,50 +158,21 @@ def _interpolate(low: float, high: float, part: float) -> float:
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    sizes: Mapping[str, ColumnSize] | None = None,
-    distinct_limit: int = DISTINCT_LIMIT,
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles per column; a column without values gives None.
-
-    ``sizes`` may come from a superset of the rows: its distinct estimate is
-    still an upper bound, and the row count is then taken from the data itself.
-    """
-    columns = list(columns)
-    if sizes is None:
-        sizes = column_sizes(df, columns)
-    short = [c for c in columns if sizes[c].distinct <= distinct_limit]
-    long = [c for c in columns if c not in short]
-    out: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
-
-    if short:
-        asked = F.array(*(F.lit(float(p)) for p in probs))
-        counts = _value_counts(df, {c: valid(c) for c in short})
-        ranked = counts.groupBy("name").agg(
-            F.percentile("value", asked, F.col("rows")).alias("found")
-        )
-        out |= {r["name"]: list(r["found"]) for r in ranked.collect()}
-
-    if long:
-        exact = column_sizes(df, long)
-        ranks = {
-            c: {
-                edge
-                for p in probs
-                for edge in (math.floor((n - 1) * p), math.ceil((n - 1) * p))
-            }
-            for c, (n, *_) in exact.items()
-            if n
-        }
-        stats = order_statistics(df, ranks, exact, distinct_limit)
-        for c in ranks:
-            out[c] = [_place(stats[c].__getitem__, exact[c].rows, p) for p in probs]
-    return out
+    """Linear-interpolated quantiles per column; a column without values gives None."""
+
+    def around(column: str, rows: int) -> set[int]:
+        ends = (f((rows - 1) * p) for p in probs for f in (math.floor, math.ceil))
+        return set(ends) if rows else set()
+
+    found = places(df, columns, around)
 
+    def quantile(c: str, p: float) -> float | None:
+        if not found.rows[c]:
+            return None
+        place = (found.rows[c] - 1) * p
+        low, high = math.floor(place), math.ceil(place)
+        return _interpolate(found.at[c][low].value, found.at[c][high].value, place - low)
 
-def _place(at, total: int, p: float) -> float:
-    place = (total - 1) * p
-    low = math.floor(place)
-    return _interpolate(at(low), at(math.ceil(place)), place - low)
+    return {c: [quantile(c, p) for p in probs] for c in columns}

@@ -24,6 +24,7 @@ from derrick.operators.split import stratified_split
 from derrick.schemas import as_measures
 from derrick.sources.scratch import materialize
 
+# Columns and names of the data contract.
 FEATURES = ("vibration", "temperature", "current_amp", "rpm")
 ROLLING = {f"{c}_rolling_mean_24h": c for c in FEATURES}
 MODEL_FEATURES = (*FEATURES, *ROLLING, "zscore_max", "isolation_score")

@@ -23,8 +23,7 @@ DAY = ["well_id", "production_date"]
 def clean_measures(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     """Median fill, then the row filter column by column.
 
-    One pass over the raw table sizes all later jobs: filling adds at most one
-    value to a column and leaves no gap, filtering only takes values away.
+    One pass over the raw table says which columns have gaps; a filled one has none.
     """
     columns = [c for c in columns if c in df.columns]
     sizes = column_sizes(df, columns)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from derrick.operators.models import (
+    MAX_DEPTH,
     fit_forest_regressor,
     fit_linear,
     predict,
@@ -16,6 +17,7 @@ from derrick.operators.models import (
 from derrick.operators.split import random_split
 from derrick.sources.scratch import materialize
 
+# Columns of the data contract.
 FEATURES = ("avg_pressure", "avg_temperature", "avg_power", "avg_pump_hours")
 TARGET = "target_oil_tons"
 KEY = ("well_id", "production_date")
@@ -30,7 +32,7 @@ def train_production_model(
     dataset: DataFrame,
     test_fraction: float = 0.2,
     trees: int = 100,
-    depth: int = 10,
+    depth: int = MAX_DEPTH,
     seed: int = 42,
 ) -> ProductionModel:
     """Fit both models on the training rows; the forest's test predictions are kept."""

@@ -15,8 +15,9 @@ PART_KEYS = ("year", "month", "day")
 
 
 def partition_by_day(df: DataFrame, date_column: str) -> DataFrame:
-    """Add the partition keys; rows without a date have no folder and are left out."""
-    return df.filter(F.col(date_column).isNotNull()).withColumns(date_parts(date_column))
+    """Add the partition keys; they are null for a row without a date, which goes to the
+    default partition of the format."""
+    return df.withColumns(date_parts(date_column))
 
 
 def export_table(

@@ -6,7 +6,6 @@ column pruning, and tells Catalyst its true size.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -18,16 +17,15 @@ _scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; only a local session without
-    that setting gets a folder of its own."""
+    """Folder named by ``spark.checkpoint.dir``; a session of one process that names none
+    keeps its tables beside its warehouse, any other has to name one."""
     sc = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if shared:
         return shared.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not (sc.master == "local" or sc.master.startswith("local[")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="derrick-"))
-    return sc.getCheckpointDir()
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

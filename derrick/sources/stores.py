@@ -17,6 +17,24 @@ def _schema_of(name: str) -> T.StructType | None:
     return TABLES[name].schema if name in TABLES else None
 
 
+#: SQL states for a table that does not exist (standard and PostgreSQL).
+MISSING_TABLE = ("42S02", "42P01")
+
+
+def sql_state(error: BaseException) -> str | None:
+    """State of the database error behind ``error``, from its Java causes."""
+    cause = getattr(error, "java_exception", None) or getattr(error, "_origin", None)
+    while cause is not None:
+        state = getattr(cause, "getSQLState", None)
+        try:
+            if state is not None and (found := state()):
+                return str(found)
+        except Exception:  # a Java object without that method answers with an error
+            pass
+        cause = cause.getCause()
+    return None
+
+
 @dataclass(frozen=True)
 class ParquetStore:
     """One Parquet folder per table under ``root`` (any Hadoop file system)."""
@@ -32,7 +50,9 @@ class ParquetStore:
         return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A registered table is read in its declared schema."""
+        reader, schema = self.spark.read, _schema_of(name)
+        return (reader.schema(schema) if schema else reader).parquet(self.path(name))
 
     def replace(self, name: str, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(self.path(name))
@@ -111,10 +131,14 @@ class JdbcStore:
         return self.spark.read.format("jdbc").options(**self._base(), query=sql).load()
 
     def exists(self, name: str) -> bool:
+        """False only if the database says that there is no such table; any other error,
+        as a lost connection, is raised."""
         try:
             self.query(f"select * from {name} where 1 = 0")
-        except Exception:
-            return False
+        except Exception as error:
+            if sql_state(error) in MISSING_TABLE:
+                return False
+            raise
         return True
 
     def read(self, name: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """Registered queries: each operator on the given tables, with SQL to check it."""
 
-from querybook import cleaning, joins, kpis, learning, marts, quality, scalars, scores, storage
+from querybook import chain, cleaning, joins, kpis, learning, marts, quality, scalars, scores, storage
 from querybook.book import oracle_sql, queries
 
 __all__ = [
+    "chain",
     "cleaning",
     "joins",
     "kpis",

@@ -47,13 +47,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def plain(df: DataFrame, digits: int = 4) -> DataFrame:
-    """Types every engine prints alike: dates as text, flags and counts as
+    """Types every engine prints alike: dates and times as text, flags and counts as
     bigint, measures as doubles rounded half up."""
     out = []
     for f in df.schema.fields:
         c = F.col(f.name)
-        if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        if isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(f.dataType, (T.BooleanType, T.IntegerType, T.ShortType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
@@ -76,5 +78,9 @@ def day(expr: str) -> str:
     return f"strftime(CAST({expr} AS DATE), '%Y-%m-%d')"
 
 
+def moment(expr: str) -> str:
+    return f"strftime(CAST({expr} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S.%f')"
+
+
 def flag(expr: str) -> str:
     return f"CAST(({expr}) AS BIGINT)"

@@ -17,7 +17,7 @@ from derrick.operators.ranking import dense_row_id
 from derrick.operators.rolling import rolling_mean
 from derrick.plans import marts
 from querybook import roles
-from querybook.book import day, flag, plain, query, r, table
+from querybook.book import day, moment, flag, plain, query, r, table
 from querybook.roles import with_roles
 
 
@@ -74,7 +74,7 @@ def daily_join_left(spark, d):
             SELECT {day('date')} AS date, pump_id, well_id, {r('avg_vibration')} AS avg_vibration,
                 {r('avg_temperature')} AS avg_temperature, {r('avg_current')} AS avg_current,
                 {r('avg_rpm')} AS avg_rpm, CAST(failure_id AS DOUBLE) AS failure_id,
-                {day('failure_ts')} AS failure_date, failure_type,
+                {moment('failure_ts')} AS failure_date, failure_type,
                 CAST(severity AS DOUBLE) AS severity, {r('repair_hours')} AS repair_hours,
                 CAST(before AS DOUBLE) AS days_before_failure,
                 {flag('coalesce(before BETWEEN 0 AND 7, false)')} AS failure_window_7d,

@@ -1,9 +1,11 @@
-"""Splits, models, metrics and the isolation forest."""
+"""Splits, weights, metrics, the linear model and the flagged share."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from derrick.operators.clean import fill_missing
 from derrick.operators.isolation import isolation_scores
 from derrick.operators.models import (
     accuracy,
@@ -16,31 +18,24 @@ from derrick.operators.models import (
     roc_auc,
 )
 from derrick.operators.split import random_split, stratified_split
-from derrick.plans import marts, views
-from derrick.plans.failure_risk import FEATURES, KEY, sensor_readings, train_failure_model
-from derrick.plans.production_model import train_production_model
-from derrick.sources.scratch import materialize
+from derrick.plans import views
+from derrick.plans.failure_risk import FEATURES, KEY, MODEL_FEATURES, sensor_readings
 from querybook import roles
-from querybook.book import day, flag, plain, query, r, table
-from querybook.roles import with_roles
+from querybook.book import flag, plain, query, r, table
 
-# Multiplicative hash that SQL can repeat; distinct for keys below 2^31.
-_HASH_SQL = "((doc_id % 2147483648) * 2654435761 + 42) % 4294967296"
-
-
-def _hash(key: str):
-    return (F.pmod(F.col(key), F.lit(1 << 31)) * F.lit(2654435761) + F.lit(42)) % F.lit(1 << 32)
+# The production hash of the splits: 13 hex digits of an MD5 over seed and key.
+_HASH_SQL = "('0x' || substr(md5(concat_ws('|', '42', doc_id)), 1, 13))::BIGINT"
 
 
 @query(
     "split_random",
     f"""SELECT doc_id, quality::BIGINT AS quality, {flag('''row_number() OVER (ORDER BY h)
-            <= ceil(0.2 * count(*) OVER ())''')} AS is_test
+            <= ceil(0.2::DOUBLE * count(*) OVER ())''')} AS is_test
         FROM (SELECT *, {_HASH_SQL} AS h FROM labels)""",
 )
 def split_random(spark, d):
     labels = table(spark, d, "labels").select("doc_id", "quality")
-    return plain(random_split(labels, ["doc_id"], 0.2, hashed=_hash("doc_id")))
+    return plain(random_split(labels, ["doc_id"], 0.2))
 
 
 @query(
@@ -49,8 +44,8 @@ def split_random(spark, d):
             SELECT quality, count(*) AS n, sum(count(*)) OVER () AS total
             FROM labels GROUP BY quality),
         exact AS (
-            SELECT quality, ceil(0.25 * total) AS wanted,
-                   ceil(0.25 * total) * n / total AS share FROM classes),
+            SELECT quality, ceil(0.25::DOUBLE * total) AS wanted,
+                   ceil(0.25::DOUBLE * total) * n / total AS share FROM classes),
         quota AS (
             SELECT quality, floor(share) + CASE WHEN row_number() OVER (
                        ORDER BY share - floor(share) DESC, quality)
@@ -62,7 +57,7 @@ def split_random(spark, d):
 )
 def split_stratified(spark, d):
     labels = table(spark, d, "labels").select("doc_id", "quality")
-    return plain(stratified_split(labels, ["doc_id"], "quality", 0.25, hashed=_hash("doc_id")))
+    return plain(stratified_split(labels, ["doc_id"], "quality", 0.25))
 
 
 @query(
@@ -76,27 +71,56 @@ def class_weights(spark, d):
     return plain(balanced_weights(labels, "quality", "weight"))
 
 
+_LINE_FEATURES = ("l_quantity", "l_discount", "l_tax", "l_linenumber")
+
+
+def _normal_equations(target: str, features: tuple[str, ...]) -> str:
+    """SQL for least squares of centred columns, solved by elimination (e0, e1, ...);
+    ends in ``fit_`` with slopes b0, b1, ... and the intercept."""
+    n = len(features)
+    means = ", ".join(f"avg({c}) AS m{i}" for i, c in enumerate(features))
+    sums = [f"avg(({a} - m{i}) * ({b} - m{j})) AS s{i}_{j}" for i, a in enumerate(features) for j, b in enumerate(features) if j >= i]
+    sums += [f"avg(({a} - m{i}) * ({target} - mt)) AS s{i}_{n}" for i, a in enumerate(features)]
+    out = f"mean_ AS (SELECT {means}, avg({target}) AS mt FROM lineitem),\n"
+    out += f"e0 AS (SELECT {', '.join(sums)} FROM lineitem, mean_)"
+    for k in range(n - 1):  # take column k out of the equations below it
+        rest = [
+            f"s{i}_{j} - s{k}_{i} * s{k}_{j} / s{k}_{k} AS s{i}_{j}"
+            for i in range(k + 1, n) for j in range(i, n + 1)
+        ]
+        kept = [f"s{i}_{j}" for i in range(k + 1) for j in range(i, n + 1)]
+        out += f",\ne{k + 1} AS (SELECT {', '.join(kept + rest)} FROM e{k})"
+    previous = f"e{n - 1}"
+    for i in reversed(range(n)):  # back substitution
+        known = "".join(f" - s{i}_{j} * b{j}" for j in range(i + 1, n))
+        out += f",\nb{i}_ AS (SELECT *, (s{i}_{n}{known}) / s{i}_{i} AS b{i} FROM {previous})"
+        previous = f"b{i}_"
+    slopes = ", ".join(f"b{i}" for i in range(n))
+    line = "mt" + "".join(f" - b{i} * m{i}" for i in range(n))
+    return f"{out},\nfit_ AS (SELECT {slopes}, {line} AS b FROM {previous}, mean_)"
+
+
+_FITTED = " + ".join(f"b{i} * {c}" for i, c in enumerate(_LINE_FEATURES))
+
+
 @query(
     "linreg",
-    f"""WITH fit AS (SELECT regr_slope(l_extendedprice, l_quantity) AS slope,
-            regr_intercept(l_extendedprice, l_quantity) AS intercept FROM lineitem),
-        gap AS (SELECT l_extendedprice - (slope * l_quantity + intercept) AS e FROM lineitem, fit)
-        SELECT {r('slope', 3)} AS slope, {r('intercept', 3)} AS intercept,
-            {r('(SELECT avg(abs(e)) FROM gap)', 3)} AS mae,
-            {r('(SELECT sqrt(avg(e * e)) FROM gap)', 3)} AS rmse FROM fit""",
+    f"""WITH {_normal_equations("l_extendedprice", _LINE_FEATURES)},
+        gap AS (SELECT l_extendedprice - ({_FITTED} + b) AS e FROM lineitem, fit_)
+        SELECT {', '.join(f"{r(f'b{i}', 2)} AS slope{i}" for i in range(len(_LINE_FEATURES)))},
+            {r('b', 2)} AS intercept, {r('(SELECT avg(abs(e)) FROM gap)', 2)} AS mae,
+            {r('(SELECT sqrt(avg(e * e)) FROM gap)', 2)} AS rmse FROM fit_""",
 )
 def linreg(spark, d):
-    lines = table(spark, d, "lineitem").select("l_quantity", "l_extendedprice")
-    model = fit_linear(lines, ["l_quantity"], "l_extendedprice")
-    fitted = predict(model, lines, ["l_quantity"])
+    lines = table(spark, d, "lineitem").select(*_LINE_FEATURES, "l_extendedprice")
+    model = fit_linear(lines, _LINE_FEATURES, "l_extendedprice")
+    fitted = predict(model, lines, _LINE_FEATURES)
+    slopes = [F.lit(float(x)).alias(f"slope{i}") for i, x in enumerate(model.coefficients)]
     return plain(
         regression_metrics(fitted, "LinearRegression", "l_extendedprice").select(
-            F.lit(float(model.coefficients[0])).alias("slope"),
-            F.lit(float(model.intercept)).alias("intercept"),
-            "mae",
-            "rmse",
+            *slopes, F.lit(float(model.intercept)).alias("intercept"), "mae", "rmse"
         ),
-        3,
+        2,
     )
 
 
@@ -135,61 +159,26 @@ def cls_metrics(spark, d):
     return plain(classifier_metrics(scored, "rule", scores, "y"))
 
 
+_MATRIX = tuple(MODEL_FEATURES)
+
+
 @query(
     "model_matrix",
-    with_roles(
-        "telemetry_daily",
-        f"""SELECT well_id, {day('date')} AS date,
-            {r('coalesce(avg_pressure, 0) + coalesce(avg_power_kw, 0)')} AS checksum
-            FROM telemetry_daily""",
-    ),
+    f"""WITH m AS (SELECT event_id, {', '.join(f"{r(e, 6)} AS x{i}" for i, e in enumerate(
+        [f"coalesce(CASE WHEN event_id % {i + 3} = 0 THEN NULL ELSE value * {i + 1} END, 0)" for i in range(10)]
+    ))} FROM events)
+        SELECT event_id, {', '.join(f'x{i}' for i in range(10))} FROM m""",
 )
 def model_matrix(spark, d):
-    """The assembled vector, summed up again."""
-    from pyspark.ml.functions import vector_to_array
-
-    from derrick.operators.clean import fill_missing
-
-    columns = ["avg_pressure", "avg_power_kw"]
-    daily = fill_missing(marts.telemetry_daily(roles.telemetry(spark, d)), columns)
-    vectors = feature_vector(daily, columns)
-    total = F.aggregate(vector_to_array("_features"), F.lit(0.0), lambda a, x: a + x)
-    return plain(vectors.select("well_id", "date", total.alias("checksum")))
-
-
-def _trained(spark, d, **options):
-    """The training table is stored first, as the job that trains reads it so."""
-    targets = roles.well_targets(spark, d).na.fill(0.0, ["avg_power_kw"])
-    dataset = materialize(marts.ml_dataset(targets), "ml-dataset")
-    return train_production_model(dataset, **options)
-
-
-@query("rf_regress")
-def rf_regress(spark, d):
-    """Numbered test predictions of the random forest."""
-    return views.ml_predictions(_trained(spark, d).predictions)
-
-
-@query("reg_model_metrics")
-def reg_model_metrics(spark, d):
-    """Errors of both models; a small forest, the full one is ``rf_regress``."""
-    return views.ml_metrics(_trained(spark, d, trees=20, depth=5).metrics)
-
-
-@query("rf_classify")
-def rf_classify(spark, d):
-    """Daily pump risk from the isolation forest, the classifier and the z-scores."""
-    made = train_failure_model(roles.pump_sensors(spark, d), roles.pump_failures(spark, d))
-    return views.pump_risk_score(made.daily)
-
-
-@query("iforest_scores")
-def iforest_scores(spark, d):
-    readings = sensor_readings(roles.pump_sensors(spark, d))
-    scored = isolation_scores(readings, FEATURES, KEY)
-    return scored.select(
-        "sensor_id", "pump_id", "sensor_date", "isolation_score", "is_isolation_anomaly"
-    )
+    """The assembled vector of all ten features, gaps filled, taken apart again."""
+    events = table(spark, d, "events")
+    gaps = [
+        F.when(F.col("event_id") % (i + 3) != 0, F.col("value") * (i + 1)).alias(c)
+        for i, c in enumerate(_MATRIX)
+    ]
+    vectors = feature_vector(fill_missing(events.select("event_id", *gaps), _MATRIX), _MATRIX)
+    values = vector_to_array("_features")
+    return plain(vectors.select("event_id", *(values[i].alias(f"x{i}") for i in range(10))), 6)
 
 
 @query(
@@ -201,7 +190,7 @@ def iforest_flags(spark, d):
     """The flagged share is exact: the rows below the interpolated 5 % quantile."""
     readings = sensor_readings(roles.pump_sensors(spark, d))
     hit, score = F.col("is_isolation_anomaly"), F.col("isolation_score")
-    return isolation_scores(readings, FEATURES, KEY, trees=50).agg(
+    return isolation_scores(readings, FEATURES, KEY).agg(
         F.count(F.lit(1)).alias("rows_count"),
         F.count_if(hit).alias("flagged"),
         F.count_if(hit != (score > 0)).alias("wrong_sign"),

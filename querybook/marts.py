@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from derrick.plans import marts
 from querybook import roles
-from querybook.book import day, flag, plain, query, r
+from querybook.book import day, moment, flag, plain, query, r
 from querybook.roles import with_roles
 
 
@@ -30,7 +30,7 @@ def mart_production(spark, d):
     "mart_logistics",
     with_roles(
         "deliveries",
-        f"""SELECT delivery_id, {day('delivery_date')} AS delivery_date, route,
+        f"""SELECT delivery_id, {moment('delivery_date')} AS delivery_date, route,
             {r('distance_km')} AS distance_km, {r('volume_tons')} AS volume_tons,
             {r('cost_rub')} AS cost_rub, {r('delay_hours')} AS delay_hours, weather, driver,
             {flag('delay_hours > 0')} AS delay_flag FROM deliveries""",

@@ -15,11 +15,15 @@ from derrick.operators.quality import (
     range_rules,
 )
 from derrick.schemas import TABLES
+from derrick.sources.scratch import materialize
 from derrick.sources.catalog import register, tables_present
 from querybook import roles
 from querybook.book import day, plain, query, table
 
-COUNTED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+COUNTED = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 DATED = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
 RANGES = {
     "l_quantity": (0, None, True),
@@ -77,7 +81,10 @@ def _lines(rule: str, tbl: str, conditions: dict[str, str]) -> str:
     )
 
 
-_LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]
+_LINE_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+]
 
 
 @query("dq_nulls", _lines("not_null", "lineitem", {c: f"{c} IS NULL" for c in _LINE_COLUMNS}))
@@ -163,8 +170,14 @@ def tables_present_query(spark, d):
 
 
 # Columns the given tables have no counterpart for.
-_ABSENT = {"production": ("created_at",), "telemetry": ("telemetry_id", "created_at")}
-_CHECKED = ("wells", "production", "telemetry", "pump_sensors", "pump_failures", "deliveries")
+_ABSENT = {
+    "production": ("created_at",),
+    "telemetry": ("telemetry_id", "created_at"),
+    "well_targets": ("target_id",),
+}
+_CHECKED = (
+    "wells", "production", "telemetry", "pump_sensors", "pump_failures", "deliveries", "well_targets",
+)
 
 
 def _rules_sql(name: str) -> list[str]:
@@ -205,6 +218,7 @@ def _rules_sql(name: str) -> list[str]:
     ),
 )
 def dq_source_tables(spark, d):
-    """Every rule of the source tables on the given tables in their shape."""
-    frames = {name: getattr(roles, name)(spark, d) for name in _CHECKED}
+    """Every rule of the source tables on the given tables in their shape, each written
+    once as its source table would be."""
+    frames = {name: materialize(getattr(roles, name)(spark, d), name) for name in _CHECKED}
     return union_all([check_table(df, TABLES[n], frames) for n, df in frames.items()])

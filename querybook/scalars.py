@@ -16,7 +16,7 @@ from derrick.functions import (
     row_max_abs,
 )
 from querybook import roles
-from querybook.book import day, even, plain, query, r, table
+from querybook.book import day, moment, even, plain, query, r, table
 from querybook.roles import with_roles
 
 
@@ -50,13 +50,13 @@ def simple_case(spark, d):
         concat('L-', lpad(CAST(l_linenumber AS VARCHAR), 3, '0')) AS label,
         dayofmonth(l_shipdate)::BIGINT AS month_day,
         {day('CAST(l_shipdate AS DATE) + CAST(l_linenumber AS INTEGER)')} AS later_day,
-        {day("l_shipdate - INTERVAL 7 DAY")} AS week_before,
+        {moment("l_shipdate - INTERVAL 7 DAY")} AS week_before,
         hour(CAST(l_shipdate AS DATE) + to_hours(CAST(l_linenumber AS INTEGER)))::BIGINT
             AS hour_of_day,
         date_diff('day', DATE '1998-01-01', CAST(l_shipdate AS DATE))::BIGINT AS days_after,
         year(l_shipdate)::BIGINT AS year, strftime(l_shipdate, '%m') AS month,
         strftime(l_shipdate, '%d') AS day,
-        {day("try_cast(concat('2024-0', CAST(l_linenumber AS VARCHAR), '-', CAST((25 + l_linenumber) AS VARCHAR), ' 10:00:00') AS TIMESTAMP)")} AS parsed
+        {moment("try_cast(concat('2024-0', CAST(l_linenumber AS VARCHAR), '-', CAST((25 + l_linenumber) AS VARCHAR), ' 10:00:00') AS TIMESTAMP)")} AS parsed
         FROM lineitem""",
 )
 def scalar_funcs(spark, d):

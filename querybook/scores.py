@@ -9,7 +9,7 @@ from derrick.operators.scoring import minmax_score, risk_score, zscore, zscore_f
 from derrick.plans import views
 from derrick.plans.failure_risk import FEATURES, pump_risk_daily, sensor_readings
 from querybook import roles
-from querybook.book import day, flag, plain, query, r, table
+from querybook.book import day, flag, moment, plain, query, r, table
 from querybook.roles import with_roles
 
 
@@ -133,7 +133,7 @@ def risk_daily(spark, d):
     "view_filter",
     with_roles(
         "pump_sensors pump_failures",
-        f"""{_SCORED} SELECT {day('sensor_datetime')} AS sensor_datetime,
+        f"""{_SCORED} SELECT {moment('sensor_datetime')} AS sensor_datetime,
             {day('sensor_date')} AS sensor_date, pump_id, well_id, {r('vibration')} AS vibration,
             failure_next_7d, {r('risk_score')} AS risk_score
             FROM risky WHERE failure_next_7d = 1""",
@@ -147,7 +147,7 @@ def view_filter(spark, d):
     "view_anomalies",
     with_roles(
         "pump_sensors pump_failures",
-        f"""{_SCORED} SELECT {day('sensor_datetime')} AS sensor_datetime,
+        f"""{_SCORED} SELECT {moment('sensor_datetime')} AS sensor_datetime,
             {day('sensor_date')} AS sensor_date, pump_id, well_id, {r('vibration')} AS vibration,
             {r('temperature')} AS temperature, {r('current_amp')} AS current_amp,
             {r('rpm')} AS rpm, {r('zscore_max')} AS zscore_max,

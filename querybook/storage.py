@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from derrick.schemas import TABLES
-from derrick.sources.export import export_table
+from derrick.operators.aggregates import service_kpi, union_all
+from derrick.plans.jobs import run_features
+from derrick.schemas import TABLES, conform
+from derrick.sources.export import export_all, export_table
 from derrick.sources.loading import load_rows
 from derrick.sources.scratch import scratch_path
 from derrick.sources.stores import ParquetStore, reconcile, replace_counted
@@ -88,3 +90,106 @@ def load_and_append(spark, d):
     load_rows(store, spec, rows.filter(early), reset=True, order_by=order)
     load_rows(store, spec, rows.filter(~early), order_by=order)
     return plain(store.read("production").select("production_id", "well_id", "oil_tons"))
+
+
+@query(
+    "reset_and_stamp",
+    """SELECT o_orderkey % 2 AS half, count(*) AS rows_count, 1::BIGINT AS first_id,
+       count(*) AS last_id, 1::BIGINT AS stamps FROM orders WHERE o_orderkey % 2 = 1 GROUP BY 1""",
+)
+def reset_and_stamp(spark, d):
+    """A full table is emptied and filled anew: ids restart, one load time for all rows."""
+    store = ParquetStore(spark, scratch_path(spark, "reset"))
+    spec = TABLES["production"]
+    rows = roles.production(spark, d).drop("production_id").na.fill(0.0, ["gas_m3"])
+    odd = roles.production(spark, d).filter("production_id % 2 = 1").drop("production_id")
+    load_rows(store, spec, rows, reset=True)
+    load_rows(store, spec, odd.na.fill(0.0, ["gas_m3"]), reset=True)
+    return plain(
+        store.read("production").agg(
+            F.lit(1).alias("half"),
+            F.count(F.lit(1)).alias("rows_count"),
+            F.min("production_id").alias("first_id"),
+            F.max("production_id").alias("last_id"),
+            F.countDistinct("created_at").alias("stamps"),
+        )
+    )
+
+
+@query(
+    "export_registry",
+    with_roles(
+        "production pump_failures",
+        """SELECT 'production' AS table_name, 1::BIGINT AS written, count(*) AS rows_count FROM production
+           UNION ALL SELECT 'pump_failures', 1, count(*) FROM pump_failures
+           UNION ALL SELECT 'wells', 0, 0""",
+    ),
+)
+def export_registry(spark, d):
+    """Registered tables to a lake; an empty one is left out."""
+    source = ParquetStore(spark, scratch_path(spark, "registry"))
+    root = scratch_path(spark, "lake")
+    source.replace("production", conform(roles.production(spark, d).withColumn("created_at", F.current_timestamp()), TABLES["production"]))
+    source.replace("pump_failures", conform(roles.pump_failures(spark, d), TABLES["pump_failures"]))
+    source.replace("wells", conform(roles.wells(spark, d).filter("well_id < 0"), TABLES["wells"]))
+    dates = {n: TABLES[n].export_date for n in ("production", "pump_failures", "wells")}
+    lines = []
+    lake = ParquetStore(spark, root)
+    for name, written in export_all(source, root, dates).items():
+        found = spark.read.parquet(lake.path(name)) if written else source.read(name)
+        lines.append(
+            found.agg(F.count(F.lit(1)).alias("rows_count"))
+            .select(F.lit(name).alias("table_name"), F.lit(int(written)).alias("written"), "rows_count")
+        )
+    return plain(union_all(lines))
+
+
+@query(
+    "feature_copies",
+    """SELECT t AS target, n AS table_name, 0::BIGINT AS differing
+       FROM (VALUES (1::BIGINT), (2::BIGINT)) a(t), (VALUES ('features_by_well'), ('features_daily')) b(n)""",
+)
+def feature_copies(spark, d):
+    """Features go to two stores; each copy holds the rows of the other, as often."""
+    source = ParquetStore(spark, scratch_path(spark, "feature-source"))
+    for name in ("production", "telemetry", "wells"):
+        getattr(roles, name)(spark, d).write.parquet(source.path(name + "_"))
+    plain_source = _Unregistered(source)
+    copies = [ParquetStore(spark, scratch_path(spark, f"features-{i}")) for i in (1, 2)]
+    run_features(plain_source, *copies)
+    lines = []
+    for i, (mine, other) in enumerate((copies, copies[::-1]), 1):
+        for name in ("features_by_well", "features_daily"):
+            more = mine.read(name).exceptAll(other.read(name))
+            lines.append(
+                more.agg(F.count(F.lit(1)).alias("differing"))
+                .select(F.lit(i).alias("target"), F.lit(name).alias("table_name"), "differing")
+            )
+    return plain(union_all(lines))
+
+
+class _Unregistered:
+    """A store of tables in the given types, not the declared ones."""
+
+    def __init__(self, store: ParquetStore) -> None:
+        self.store, self.spark = store, store.spark
+
+    def read(self, name: str):
+        return self.store.read(name + "_")
+
+
+@query(
+    "large_sums",
+    """SELECT strftime(CAST(o_orderdate AS DATE), '%Y') AS year, count(*) AS rows_count,
+       CAST(round(sum(CAST(o_totalprice AS DECIMAL(18,2)) * 1000000.125::DECIMAL(12,3)), 2) AS VARCHAR) AS total
+       FROM orders GROUP BY 1""",
+)
+def large_sums(spark, d):
+    """Money beyond 1e13 stays a decimal through sum and rounding."""
+    orders = table(spark, d, "orders").select(
+        F.date_format("o_orderdate", "yyyy").alias("year"),
+        (F.col("o_totalprice").cast("decimal(18,2)") * F.lit("1000000.125").cast("decimal(12,3)")).alias("money"),
+    )
+    return service_kpi(orders, "year", {}, {}, {}, {"total": "money"}, count="rows_count").select(
+        "year", "rows_count", F.col("total").cast("string").alias("total")
+    )

@@ -15,6 +15,7 @@ from derrick.functions import (
     in_range_or_false,
     parse_timestamp,
     per_unit,
+    round_exact,
     round_half_even,
     round_half_up,
     row_max_abs,
@@ -41,6 +42,18 @@ def test_half_up_goes_away_from_zero(values):
     assert values(lambda c: round_half_up(c, 0), [0.5, 1.5, 2.5, -0.5]) == [1.0, 2.0, 3.0, -1.0]
 
 
+def test_half_up_of_large_values(values):
+    xs = [2e11, 1e12 + 0.125, 1e13 + 0.125, 1e14, 1e14 + 0.5, 2.6749999996, 1e30]
+    assert values(lambda c: round_half_up(c, 4), xs[:1]) == [2e11]
+    assert values(round_half_up, xs) == [2e11, 1e12 + 0.13, 1e13 + 0.13, 1e14, 1e14 + 0.5, 2.67, 1e30]
+
+
+def test_decimals_are_rounded_as_decimals(spark):
+    df = spark.sql("select cast('90000000000000000.125' as decimal(22,3)) as x union all select 0.010")
+    out = df.select(round_exact(df, F.sum("x"), "x").alias("y")).first()["y"]
+    assert str(out) == "90000000000000000.14"
+
+
 def test_half_up_of_missing(values):
     assert values(round_half_up, [None, float("nan")]) == [None, None]
 

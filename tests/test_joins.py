@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from derrick.functions import to_day
 from derrick.operators.joins import (
     attach_events,
-    broadcast_if_small,
     calendar_grid,
     date_spine,
     interval_exists,
@@ -103,20 +102,6 @@ def test_events_fan_out(spark, events):
     assert [rows[k]["has_failure"] for k in (("a", -1), ("b", None))] == [True, False]
 
 
-def test_broadcast_only_below_the_limit(spark):
-    big, keys = spark.range(1000), spark.range(50)
-
-    def plan(side):
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        try:
-            return big.join(side, "id")._jdf.queryExecution().toString()
-        finally:
-            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-    assert "BroadcastHashJoin" in plan(broadcast_if_small(keys, 50))
-    assert "BroadcastHashJoin" not in plan(broadcast_if_small(keys, 49))
-
-
 def test_grid_and_spine(spark):
     wells = spark.range(3).withColumnRenamed("id", "well_id")
     first, last = F.lit(dt.date(2024, 2, 28)), F.lit(dt.date(2024, 3, 1))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from derrick.operators.isolation import fit_forest, isolation_scores, mean_path
 from derrick.operators.models import (
     balanced_weights,
+    fit_forest_regressor,
     fit_linear,
     predict,
     regression_metrics,
@@ -53,7 +54,7 @@ def test_isolation_share_outliers_and_repeatability(cloud):
 
 
 def test_dealt_samples_find_the_outliers_too(spark):
-    """More rows than the pool: rows are thinned and dealt, none is copied."""
+    """A rare draw: one hash deals each row to one of all trees, or to none."""
     df = spark.range(6_000).select(
         "id", *(F.rand(s).alias(c) for s, c in enumerate(DIMS))
     )
@@ -100,6 +101,45 @@ def test_stratified_split(spark):
         stratified_split(df, ["id"], "id")
 
 
+def test_splits_are_exact_with_repeated_keys(spark):
+    same = spark.range(1_000).select(F.lit(7).alias("k"), (F.col("id") % 10).alias("v"))
+    for parts in (1, 4):
+        df = same.repartition(parts, "v")
+        assert random_split(df, ["k"], 0.2).filter("is_test").count() == 200
+        marked = stratified_split(df, ["k"], "v", 0.25)
+        assert {r["count"] for r in marked.filter("is_test").groupBy("v").count().collect()} == {25}
+
+
+def test_many_classes_need_no_cap(spark):
+    df = spark.range(600).select("id", (F.col("id") % 150).alias("c"))
+    assert stratified_split(df, ["id"], "c", 0.25).filter("is_test").count() == 150
+    with pytest.raises(ValueError):
+        stratified_split(df, ["id"], "c", 0.25, max_classes=149)
+
+
+def test_one_model_on_any_number_of_partitions(spark):
+    rng = np.random.default_rng(5)
+    x = rng.uniform(size=(400, 3))
+    y = (x[:, 0] > 0.5) * 3.0 + x[:, 1] * x[:, 2]
+    rows = [(*map(float, v), float(t)) for v, t in zip(x, y)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, y double")
+    got = []
+    for parts in (2, 4, 8):
+        model = fit_forest_regressor(df.repartition(parts), ["a", "b", "c"], "y", trees=5, depth=8)
+        out = predict(model, df, ["a", "b", "c"]).orderBy("a").collect()
+        got.append([r["predicted"] for r in out])
+    assert got[0] == got[1] == got[2]
+
+
+def test_incomplete_rows_have_no_isolation_score(cloud):
+    gap = cloud.withColumn("a", F.when(F.col("i") == 3, F.lit(None)).otherwise(F.col("a")))
+    gap = gap.withColumn("b", F.when(F.col("i") == 4, F.lit(float("nan"))).otherwise(F.col("b")))
+    out = {r["i"]: r for r in isolation_scores(gap, DIMS, ["i"], trees=40).collect()}
+    assert len(out) == 1_010
+    for i in (3, 4):
+        assert out[i]["isolation_score"] is None and out[i]["is_isolation_anomaly"] is False
+
+
 def test_linear_model_matches_least_squares(spark):
     rng = np.random.default_rng(5)
     x = rng.normal(size=(300, 3))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -27,21 +29,31 @@ def test_sizes(skewed):
     assert (got["x"].rows, got["x"].missing, got["y"].missing) == (len(x), 2, 1)
 
 
-@pytest.mark.parametrize("limit", [200_000, 500])
-def test_quantiles_are_exact(skewed, limit):
+def test_quantiles_are_exact(skewed):
     df, x = skewed
-    got = exact_quantiles(df, ["x", "y"], PROBS, distinct_limit=limit)
+    got = exact_quantiles(df, ["x", "y"], PROBS)
     assert got["x"] == pytest.approx(list(np.quantile(x, PROBS)), rel=1e-12)
     y = [i % 7 for i in range(len(x))] + [1]
     assert got["y"] == pytest.approx(list(np.quantile(y, PROBS)))
 
 
-def test_narrowing_survives_a_bad_sketch(skewed, monkeypatch):
+@pytest.mark.parametrize("cells", [2, 4096])
+def test_ranks_are_exact_however_fine_the_cells(skewed, monkeypatch, cells):
     df, x = skewed
-    monkeypatch.setattr(quantile, "_SKETCH", 50)
+    monkeypatch.setattr(quantile, "CELLS", cells)
     ranks = [0, 100, 4_999, 7_500, len(x) - 1]
-    got = order_statistics(df, {"x": ranks}, distinct_limit=300)
-    assert got["x"] == {r: np.sort(x)[r] for r in ranks}
+    assert order_statistics(df, {"x": ranks})["x"] == {r: np.sort(x)[r] for r in ranks}
+    with pytest.raises(IndexError):
+        order_statistics(df, {"x": [len(x)]})
+
+
+def test_extreme_values(spark):
+    x = [-math.inf, -1.7e308, -5e-324, -0.0, 0.0, 5e-324, 1.0, 1.0, 1.7e308, math.inf]
+    df = spark.createDataFrame([(v,) for v in x], "x double").repartition(3)
+    got = order_statistics(df, {"x": range(len(x))})["x"]
+    assert [got[i] for i in range(len(x))] == x
+    found = quantile.places(df, ["x"], lambda c, rows: [7]).at["x"][7]
+    assert (found.value, found.below, found.equal) == (1.0, 6, 2)
 
 
 def test_empty_and_valueless_columns(spark):

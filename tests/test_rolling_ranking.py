@@ -42,6 +42,16 @@ def test_rolling_mean(readings, limit, width):
         assert got[k] == (pytest.approx(v) if v is not None else None)
 
 
+def test_rolling_ties_and_null_entities_are_the_same_at_any_limit(spark):
+    rows = [(None if i % 3 else "p", i // 4, float(i * 37 % 101)) for i in range(200)]
+    df = spark.createDataFrame(rows, "pump string, ts int, x double")
+    runs = [
+        sorted(map(str, rolling_mean(df.repartition(n), ["pump"], ["ts"], {"m": "x"}, 5, limit).collect()))
+        for n, limit in ((1, 10**6), (5, 10**6), (3, 40))
+    ]
+    assert runs[0] == runs[1] == runs[2]
+
+
 def test_dense_id_equals_row_number(spark, readings):
     numbered = dense_row_id(readings, ["pump", "ts"])
     plain = readings.withColumn("want", F.row_number().over(Window.orderBy("pump", "ts")))

@@ -50,12 +50,13 @@ def test_export_prunes_partitions(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in one._jdf.queryExecution().toString()
 
 
-def test_export_skips_empty_and_undated(spark, tmp_path):
+def test_export_skips_empty_and_keeps_undated(spark, tmp_path):
     assert not export_table(_days(spark, [1]).limit(0), str(tmp_path / "e"), "ts")
     assert not (tmp_path / "e").exists()
     some = _days(spark, [1]).unionAll(spark.createDataFrame([(9, None)], "i int, ts timestamp_ntz"))
     export_table(some, str(tmp_path / "n"), "ts")
-    assert spark.read.parquet(str(tmp_path / "n")).count() == 1
+    back = spark.read.parquet(str(tmp_path / "n"))
+    assert back.count() == 2 and back.filter("year IS NULL").first()["i"] == 9
     export_table(some, str(tmp_path / "u"))
     assert spark.read.parquet(str(tmp_path / "u")).count() == 2
 
@@ -74,6 +75,42 @@ def test_store_round_trip(spark, tmp_path, kind):
     assert reconcile(store, {}).count() == 0
 
 
+class _State(Exception):
+    """A database error as Spark wraps it: the state is in a Java cause."""
+
+    def __init__(self, state):
+        class Cause:
+            def getSQLState(self):
+                return state
+
+            def getCause(self):
+                return None
+
+        self.java_exception = Cause()
+
+
+@pytest.mark.parametrize("state", ["42P01", "42S02"])
+def test_jdbc_table_that_does_not_exist(spark, monkeypatch, state):
+    def fail(self, sql):
+        raise _State(state)
+
+    monkeypatch.setattr(JdbcStore, "query", fail)
+    assert not JdbcStore(spark, "jdbc:x://h/db").exists("production")
+
+
+@pytest.mark.parametrize("state", ["08006", None, ""])
+def test_jdbc_failures_are_not_taken_for_a_missing_table(spark, monkeypatch, state):
+    def fail(self, sql):
+        raise _State(state)
+
+    monkeypatch.setattr(JdbcStore, "query", fail)
+    store = JdbcStore(spark, "jdbc:x://h/db")
+    with pytest.raises(_State):
+        store.exists("production")
+    with pytest.raises(_State):
+        load_rows(store, TABLES["production"], spark.range(1))
+
+
 def test_jdbc_options(spark):
     """Options only: no database is started here."""
     store = JdbcStore(spark, "jdbc:x://h/db", {"user": "u"}, partitions=8)
