@@ -309,12 +309,13 @@ def _cut(cells: DataFrame, weights: DataFrame, metric: Metric) -> DataFrame:
     )
     pivots = pivots.select("cell", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "p")
     pivots = pivots.select("cell", "slice", F.explode("p").alias("p")).select("cell", "slice", F.col("p.cls").alias("cls"), F.col("p.s").alias("s"))
+    pivots = materialize(pivots, "pivots")
     dealt = large.withColumn("slice", F.pmod(F.xxhash64("cls"), F.col("slices")).cast("int")).drop("slices", "sets")
 
     def run(members: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {"cell": [], "home": [], "cls": [], "s": [], "edge": []}
         if not len(members) or not len(around):
-            return pd.DataFrame(out)
+            return pd.DataFrame(out, dtype=object)
         arrays = [np.asarray(x) for x in members["s"]] + [np.asarray(x) for x in around["s"]]
         s, g = Sets(arrays), len(members)
         every = np.arange(g)
@@ -333,7 +334,7 @@ def _cut(cells: DataFrame, weights: DataFrame, metric: Metric) -> DataFrame:
                 out["cls"].append(ids[i])
                 out["s"].append(arrays[i])
                 out["edge"].append(names[j] if link[i, j] else None)
-        return pd.DataFrame(out)
+        return pd.DataFrame(out, dtype=object)
 
     return dealt.groupBy("cell", "slice").cogroup(pivots.groupBy("cell", "slice")).applyInPandas(run, _CUT)
 
@@ -361,7 +362,10 @@ def _in_blocks(
     outside = rows.filter("NOT inside").select("cell", "cls", "s", "block",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
     has = rows.filter("NOT inside").select("cell", "block").distinct().withColumnRenamed("block", "from")
-    others = rows.join(has, "cell").select("cell", "cls", "s", F.col("from").alias("block"), F.col("block").alias("with"))
+    others = rows.join(has, "cell").select(
+        F.col("cell").alias("in"), F.col("cls").alias("cls"), F.col("s").alias("s"),
+        F.col("from").alias("mine"), F.col("block").alias("rest"),
+    )
 
     def run(mine: pd.DataFrame, rest: pd.DataFrame) -> pd.DataFrame:
         a: list[bytes] = []
@@ -377,9 +381,9 @@ def _in_blocks(
                     if names[j] != cls:
                         a.append(cls)
                         b.append(names[j])
-        return pd.DataFrame({"a": a, "b": b})
+        return pd.DataFrame({"a": a, "b": b}, dtype=object)
 
-    pairs = outside.groupBy("cell", "block", "with").cogroup(others.groupBy("cell", "block", "with")).applyInPandas(run, _EDGE)
+    pairs = outside.groupBy("cell", "block", "with").cogroup(others.groupBy("in", "mine", "rest")).applyInPandas(run, _EDGE)
     return edges, pairs
 
 
