@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -38,6 +39,7 @@ def main() -> None:
         master=f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "16g"),
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"),
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")

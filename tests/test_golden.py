@@ -161,7 +161,7 @@ def test_logistics(seed):
     assert "cost_per_km" not in m.columns
     assert m.filter("delay_flag").count() == 110
     weather = {
-        r["weather"]: (r["deliveries_count"], r["avg_delay_hours"], r["max_delay_hours"])
+        r["weather"]: (r["deliveries_count"], float(r["avg_delay_hours"]), float(r["max_delay_hours"]))
         for r in views.weather_delay(seed["deliveries"]).collect()
     }
     assert weather == {
@@ -171,12 +171,12 @@ def test_logistics(seed):
         "storm": (30, 7.97, 11.0),
     }
     first = {r["driver"]: r for r in views.driver_kpi(seed["deliveries"]).collect()}["Driver-01"]
-    assert tuple(first[c] for c in (
+    assert tuple(float(first[c]) for c in (
         "deliveries_count", "avg_delay_hours", "max_delay_hours", "avg_cost_per_km",
         "total_volume_tons",
     )) == (12, 2.25, 4.0, 85.62, 484.0)
     routes = {r["route"]: r for r in views.route_analytics(seed["deliveries"]).collect()}
-    assert [routes[f"Route-{i:02d}"]["avg_delay_hours"] for i in range(1, 9)] == [
+    assert [float(routes[f"Route-{i:02d}"]["avg_delay_hours"]) for i in range(1, 9)] == [
         0.5, 3.5, 5.0, 8.07, 0.5, 3.5, 5.0, 7.87,
     ]
     assert {r["deliveries_count"] for r in routes.values()} == {15}
