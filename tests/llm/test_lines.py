@@ -40,7 +40,7 @@ def brute(rows):
 
 
 def digest_rows(index, df, found):
-    done = line_dedup.clean(index, df, found)
+    done = line_dedup.without(df, line_dedup.dropped(index, found))
     rows = done.select(
         "doc_id", F.size("__lines"), F.coalesce(F.size("__gone"), F.lit(0)), F.sha2(line_dedup.kept_text(), 256)
     ).collect()
