@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from derrick.sources.scratch import scratch_path, scratch_scope
+
 #: Bytes a broadcast table may have; larger ones go the shuffled way.
 BROADCAST_BYTES = 32 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -50,12 +52,13 @@ def row_key(*columns: Column) -> Column:
     return F.xxhash64(*parts)
 
 
-def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
-    """Null-safe equality on all of ``names``."""
-    out = F.lit(True)
-    for n in names:
-        out = out & left[n].eqNullSafe(right[n])
-    return out
+def settled(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The rows of ``make()``, written; the tables that it wrote on the way are deleted."""
+    path = scratch_path(spark, label)
+    with scratch_scope(spark):
+        out = make()
+        out.write.parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
 
 
 def hinted(df: DataFrame, row_bytes: int) -> DataFrame:

@@ -9,17 +9,17 @@ least ``MIN_CHARS`` code points count. An index holds three written tables:
 
 ``insert`` adds documents, ``delete`` takes documents out again: counts fall, owners
 pass on, and digests that only one document still holds leave their shard's filter.
-``clean`` removes, from any documents, the lines whose key another document owns:
-lines are first tried against the filters where they are read, so the great mass of
-single lines is never shuffled, and what the filters let through is settled by the
-exact table.
+``dropped`` and ``without`` remove, from any documents, the lines whose key another document owns:
+lines are first tried against the filters, so the great mass of single lines is never
+shuffled again, and what the filters let through is settled by the exact table.
 
 Scale: digests are 16 bytes of SHA-256; counting is two aggregations with map-side
 combine, so a line that a third of all documents share is one row per task. A shard
 holds about ``SHARD_KEYS`` digests at any size of the corpus. Filters are tried by
 broadcast while they fit ``FILTER_BYTES`` together; beyond that the lines go to their
-shards' filters by a shuffle on the digest, with equal results. The texts are
-shuffled once, by document, to meet the list of lines they lose.
+shards' filters by a shuffle on the digest, with equal results. A text is cut into
+lines once (their digests are written), and shuffled once, by document, to meet the
+list of lines it loses.
 
 Edge cases: null and empty texts are one empty line; a null id is treated as larger
 than any id and null ids together as one document, as are rows that repeat an id
@@ -31,13 +31,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import sha256
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from derrick.llm.common import cols, documents, lower_ascii, row_key
+from derrick.llm.common import cols, documents, row_key, settled
 from derrick.llm.cuckoo import CuckooFilter, built
 from derrick.sources.scratch import materialize
 
@@ -45,6 +46,7 @@ MIN_CHARS = 10
 SHARD_KEYS = 50_000
 FILTER_BYTES = 64 << 20
 _LAST = 2**63 - 1
+_BLANK = b" \t\n\x0b\x0c\r"
 
 
 @dataclass(frozen=True)
@@ -57,14 +59,37 @@ class LineIndex:
     shards: int
 
 
-def line_key(line: Column) -> Column:
-    """Stripped and lower-cased; null where it is too short to count."""
-    key = lower_ascii(F.regexp_replace(line, "^[ \\t-\\r]+|[ \\t-\\r]+$", ""))
-    return F.when(F.length(key) >= MIN_CHARS, key)
-
-
-def digest(key: Column) -> Column:
-    return F.substring(F.unhex(F.sha2(key, 256)), 1, 16)
+def line_key(line: bytes) -> bytes | None:
+    """Stripped and lower-cased UTF-8; None where it is too short to count. The bytes
+    methods know exactly the white space and the letters meant."""
+    key = line.strip(_BLANK).lower()
+    if len(key) < 4 * MIN_CHARS and len(key.decode("utf-8")) < MIN_CHARS:
+        return None
+    return key
+
+
+def lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc, key, at, digest) of every line that counts: document, row key, place."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            times, at, digests = [], [], []
+            for t in rows["text"]:
+                before = len(at)
+                for i, line in enumerate(t.encode("utf-8").split(b"\n") if t else ()):
+                    key = line_key(line)
+                    if key is not None:
+                        at.append(i)
+                        digests.append(sha256(key).digest()[:16])
+                times.append(len(at) - before)
+            out = rows[["doc", "key"]]
+            out = out.loc[out.index.repeat(times)].reset_index(drop=True)
+            yield out.assign(at=at, digest=digests)
+
+    body = docs.select(
+        _ids(F.col(doc_id)).alias("doc"), row_key(F.col(doc_id), F.col(text)).alias("key"), F.col(text).alias("text")
+    )
+    return body.mapInPandas(run, "doc long, key long, at int, digest binary")
 
 
 def text_lines(text: Column) -> Column:
@@ -83,14 +108,9 @@ def _shard(shards: int) -> Column:
     return F.pmod(F.shiftright(_hash("digest"), 3), F.lit(shards)).cast("int")
 
 
-def postings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Distinct (digest, doc) of ``docs``; within a row the digests are made distinct
-    before they are spread."""
-    digests = F.array_distinct(F.filter(
-        F.transform(text_lines(F.col(text)), lambda s: digest(line_key(s))), lambda d: d.isNotNull()
-    ))
-    rows = docs.select(_ids(F.col(doc_id)).alias("doc"), F.explode(digests).alias("digest"))
-    return rows.groupBy("digest", "doc").agg(F.lit(1).alias("one")).select("digest", "doc")
+def postings(found: DataFrame) -> DataFrame:
+    """Distinct (digest, doc) of lines."""
+    return found.select("digest", "doc").distinct()
 
 
 def _refs(found: DataFrame) -> DataFrame:
@@ -111,8 +131,9 @@ def _filters(refs: DataFrame, shards: int) -> DataFrame:
     return keys.groupBy("shard").applyInPandas(build, _FILTER)
 
 
-def build(docs: DataFrame, shard_keys: int = SHARD_KEYS) -> LineIndex:
-    found = materialize(postings(docs), "postings")
+def build(found: DataFrame, shard_keys: int = SHARD_KEYS) -> LineIndex:
+    """The index of the documents whose ``lines`` are given."""
+    found = materialize(postings(found), "postings")
     refs = materialize(_refs(found), "refs")
     shards = max(1, -(-refs.filter("n_docs >= 2").count() // shard_keys))
     return LineIndex(found, refs, materialize(_filters(refs, shards), "filters"), shards)
@@ -148,10 +169,10 @@ def _refreshed(index: LineIndex, found: DataFrame, touched: DataFrame) -> LineIn
     return LineIndex(found, refs, materialize(filters, "filters"), index.shards)
 
 
-def insert(index: LineIndex, docs: DataFrame) -> LineIndex:
-    """The index with ``docs`` added; documents it holds already change nothing,
+def insert(index: LineIndex, added: DataFrame) -> LineIndex:
+    """The index with the documents of the lines ``added``; documents it holds already change nothing,
     lines that a known id brings anew are added to it."""
-    new = postings(docs).join(index.postings, ["digest", "doc"], "left_anti")
+    new = postings(added).join(index.postings, ["digest", "doc"], "left_anti")
     new = materialize(new, "postings-new")
     found = materialize(index.postings.unionByName(new), "postings")
     return _refreshed(index, found, new.select("digest").distinct())
@@ -165,13 +186,13 @@ def delete(index: LineIndex, ids: DataFrame, doc_id: str = "doc_id") -> LineInde
     return _refreshed(index, found, touched)
 
 
-def _let_through(index: LineIndex, lines: DataFrame) -> DataFrame:
+def _let_through(index: LineIndex, found: DataFrame) -> DataFrame:
     """The lines whose digest may be held by two documents."""
-    schema = lines.schema
+    schema = found.schema
     total = index.filters.agg(F.sum(F.length("filter"))).first()[0] or 0
     if total <= FILTER_BYTES:
         raw = {r["shard"]: bytes(r["filter"]) for r in index.filters.collect()}
-        shared = lines.sparkSession.sparkContext.broadcast(raw)
+        shared = found.sparkSession.sparkContext.broadcast(raw)
 
         def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             filters = {k: CuckooFilter.load(v) for k, v in shared.value.items()}
@@ -184,12 +205,12 @@ def _let_through(index: LineIndex, lines: DataFrame) -> DataFrame:
                         ok[mine] = filters[k].contains(h[mine])
                 yield rows[ok]
 
-        return lines.mapInPandas(probe, schema)
+        return found.mapInPandas(probe, schema)
 
     # Beyond the broadcast size: a filter's bytes travel to the lines of its shard,
     # cut into slices so that no task holds a shard's lines together.
     slices = 64
-    salted = lines.withColumn("slice", F.pmod(F.xxhash64("doc", "key", "at"), F.lit(slices)))
+    salted = found.withColumn("slice", F.pmod(F.xxhash64("doc", "key", "at"), F.lit(slices)))
     spread = index.filters.select("shard", "filter", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("long").alias("slice"))
 
     def settle(key: tuple, rows: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
@@ -201,23 +222,21 @@ def _let_through(index: LineIndex, lines: DataFrame) -> DataFrame:
     return salted.groupBy("shard", "slice").cogroup(spread.groupBy("shard", "slice")).applyInPandas(settle, schema)
 
 
-def dropped(index: LineIndex, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def dropped(index: LineIndex, found: DataFrame) -> DataFrame:
     """Per document key (``doc``, ``key``) the places of the lines it loses."""
-    doc = F.col(doc_id)
-    keys = F.transform(text_lines(F.col(text)), lambda s: digest(line_key(s)))
-    lines = docs.select(_ids(doc).alias("doc"), row_key(doc, F.col(text)).alias("key"), F.posexplode(keys).alias("at", "digest"))
-    lines = lines.filter("digest IS NOT NULL").select(
-        "doc", "key", "at", "digest", _shard(index.shards).alias("shard"), _hash("digest").alias("h")
-    )
-    maybe = _let_through(index, lines).select("doc", "key", "at", "digest")
+    probes = found.select("*", _shard(index.shards).alias("shard"), _hash("digest").alias("h"))
+    maybe = _let_through(index, probes).select("doc", "key", "at", "digest")
     owned = index.refs.filter("n_docs >= 2").select("digest", "owner")
     lost = maybe.join(owned, "digest").filter("doc <> owner")
     return lost.groupBy("doc", "key").agg(F.collect_set("at").alias("gone"))
 
 
-def clean(index: LineIndex, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` beside ``__lines`` (all lines) and ``__gone`` (places of those to go)."""
-    gone = materialize(dropped(index, docs, doc_id, text), "gone").select(
+def without(
+    docs: DataFrame, gone: DataFrame, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``docs`` beside ``__lines`` (all lines) and ``__gone`` (places of those to go, from
+    ``dropped``)."""
+    gone = gone.select(
         F.col("doc").alias("__doc"), F.col("key").alias("__key"), F.col("gone").alias("__gone")
     )
     keyed = docs.select(*cols(docs), _ids(F.col(doc_id)).alias("__id"), row_key(F.col(doc_id), F.col(text)).alias("__row"))
@@ -225,15 +244,25 @@ def clean(index: LineIndex, docs: DataFrame, doc_id: str = "doc_id", text: str =
     return met.withColumn("__lines", text_lines(F.col(text))).drop("__doc", "__key", "__id", "__row")
 
 
+def _lost(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """What ``docs`` lose to one another; only this table stays."""
+
+    def make() -> DataFrame:
+        found = materialize(lines(docs), "lines")
+        return dropped(build(found), found)
+
+    return settled(spark, "gone", make)
+
+
 def kept_text() -> Column:
-    """The lines that stay, joined again, of a row of ``clean``."""
+    """The lines that stay, joined again, of a row of ``without``."""
     stay = F.filter("__lines", lambda s, i: ~F.array_contains("__gone", i))
     return F.when(F.col("__gone").isNull(), F.array_join("__lines", "\n")).otherwise(F.array_join(stay, "\n"))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    done = clean(build(docs), docs)
+    done = without(docs, _lost(spark, docs))
     return done.select(
         "doc_id",
         F.size("__lines").cast("long").alias("n_lines"),
@@ -245,7 +274,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, its text without the lines that another document owns;
     ``n_chars``, where there is such a column, follows the text."""
-    done = clean(build(docs), docs)
+    done = without(docs, _lost(spark, docs))
     new = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept_text())
     done = done.withColumn("__new", new)
     out = []
