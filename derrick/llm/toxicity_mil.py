@@ -25,6 +25,7 @@ none; empty tables give empty results; further columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 from zlib import crc32
@@ -38,7 +39,7 @@ from derrick.llm.common import documents
 from derrick.sources.scratch import materialize
 
 BITS = 18
-TRAIN_DOCS = 6_000
+TRAIN_DOCS = 3_000
 EPOCHS = 60
 THRESHOLD = 0.3
 _SENTENCE = re.compile(r"[.!?\n\r]+")
@@ -96,12 +97,12 @@ def fit(texts: list[str | None], labels: np.ndarray, epochs: int = EPOCHS) -> Mo
     flat = Model(np.zeros(1 << BITS, dtype=np.float32), -12.0, 0.0, float(np.log((rate + 1e-6) / (1 - rate + 1e-6))))
     if len(set(labels.tolist())) < 2:
         return flat
-    known, word, sent, bag = _Slots(), [], [], []
+    known, word, sent, bag = _Slots(), array("i"), array("i"), array("i")
     for d, text in enumerate(texts):
         for s in sentences(text):
             found = slots(s, known)
-            word += found
-            sent += [len(bag)] * len(found)
+            word.extend(found)
+            sent.extend([len(bag)] * len(found))
             bag.append(d)
     if not word:
         return flat
@@ -189,8 +190,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_D
     ids = [known.filter(cond).orderBy("h", "doc_id").limit(per_label) for cond in ("toxic = 1", "toxic <> 1")]
     chosen = materialize(ids[0].unionByName(ids[1]), "chosen")
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = found.groupBy("doc_id", "toxic", "h").agg(F.min("text").alias("text")).orderBy("h", "doc_id").collect()
-    return [r["text"] for r in rows], np.array([int(r["toxic"] == 1) for r in rows])
+    rows = found.groupBy("doc_id", "toxic", "h").agg(F.min("text").alias("text")).orderBy("h", "doc_id").toArrow()
+    return rows["text"].to_pylist(), np.array([int(t == 1) for t in rows["toxic"].to_pylist()])
 
 
 def shares(labels: DataFrame) -> tuple[int, int]:
