@@ -45,6 +45,8 @@ SWEEPS = 12
 END = b"\x00"  # no word; stands for the end of a text
 #: Distinct words a task gathers before it hands its counts on.
 FLUSH = 300_000
+#: Documents whose rare words a task holds at a time.
+CHUNK = 500
 PRIOR = 50.0
 HALF = 0.5
 
@@ -260,7 +262,8 @@ def scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
         ids, logs = _Ids(vocabulary), {w: (np.log10(c + 1), np.log10(c + HALF)) for w, c in frequent.items()}
         edge = len(label) - 1
         end_base = float(np.log10(end + 1))
-        for rows in batches:
+        parts = (b.iloc[i : i + CHUNK] for b in batches for i in range(0, len(b), CHUNK))
+        for rows in parts:
             out: list[tuple] = []
             for t in rows["text"]:
                 ws = tokens(t)
