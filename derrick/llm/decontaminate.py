@@ -34,7 +34,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from derrick.llm.common import cols, documents, hinted, let, lower_ascii, row_key
+from derrick.llm.common import cols, documents, hinted, let, lower_ascii, row_key, settled
 from derrick.sources.scratch import materialize
 
 WINDOW, SHINGLE = 13, 3
@@ -145,7 +145,7 @@ def hits(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str =
 
 
 def verdicts(docs: DataFrame, bench: DataFrame) -> DataFrame:
-    found = materialize(hits(docs, bench), "hits").withColumnRenamed("doc_id", "d").withColumnRenamed("key", "k")
+    found = settled(docs.sparkSession, "hits", lambda: hits(docs, bench)).withColumnRenamed("doc_id", "d").withColumnRenamed("key", "k")
     base = docs.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"),
                        count_words(F.col("text")).alias("n_words"))
     out = base.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")), "left")
@@ -164,7 +164,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without a contaminated verdict, all columns as they came."""
-    found = materialize(hits(docs, documents(spark, sf_dir, "benchmark")), "hits")
+    found = settled(spark, "hits", lambda: hits(docs, documents(spark, sf_dir, "benchmark")))
     found = found.select(F.col("doc_id").alias("__d"), F.col("key").alias("__k"), F.col("n_hit").alias("__hit"))
     keyed = docs.select(*cols(docs), row_key(F.col("doc_id"), F.col("text")).alias("__key"))
     bad = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__key") == F.col("__k")), "left")

@@ -51,7 +51,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from derrick.llm.common import cols, documents, hinted, row_key
+from derrick.llm.common import cols, documents, hinted, row_key, settled
 from derrick.llm.components import components
 from derrick.sources.scratch import materialize
 
@@ -420,8 +420,10 @@ def link_edges(full: DataFrame, metric: Metric, rounds: int = 6) -> DataFrame:
 def clusters(docs: DataFrame, metric: Metric, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Every row's id, key, set size and component (smallest id that links reach)."""
     rows = materialize(sets(docs, metric, doc_id, text), "rows")
-    full = survivors(rows, docs, metric, doc_id, text)
-    linked_to = components(materialize(link_edges(full, metric), "links"))
+    linked_to = settled(
+        docs.sparkSession, "linked",
+        lambda: components(materialize(link_edges(survivors(rows, docs, metric, doc_id, text), metric), "links")),
+    )
     classes = rows.filter("cls IS NOT NULL").groupBy("cls").agg(F.min("doc_id").alias("least"))
     roots = materialize(classes.join(linked_to, F.col("cls") == F.col("node"), "left").select(
         "cls", "least", F.coalesce("root", "cls").alias("root")
@@ -440,11 +442,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Of each component the document with the smallest id (of equal ids the one with
     the smallest key, once); documents without words or id stay.
     As no contract binds the stage, it takes five words and 0.8."""
-    found = clusters(docs, NEAR).withColumnRenamed("doc_id", "d").withColumnRenamed("key", "k")
-    alone = F.col("component_id").isNull() | (F.col("n_shingles") == 0)
-    first = found.filter(~alone).groupBy("component_id").agg(F.min("k").alias("least_any"),
-        F.min(F.when(F.col("d") == F.col("component_id"), F.col("k"))).alias("k"))
-    first = materialize(first.select(F.col("component_id").alias("d"), "k"), "kept-keys")
+
+    def first_of_each() -> DataFrame:
+        found = clusters(docs, NEAR).filter("component_id IS NOT NULL AND n_shingles > 0")
+        named = F.when(F.col("doc_id") == F.col("component_id"), F.col("key"))
+        return found.groupBy(F.col("component_id").alias("d")).agg(F.min(named).alias("k"))
+
+    first = settled(spark, "kept-keys", first_of_each)
     keyed = docs.select(F.struct(*cols(docs)).alias("row"), F.col("doc_id").alias("id"), row_key(F.col("doc_id"), F.col("text")).alias("key"),
                         F.length(F.regexp_replace(F.coalesce("text", F.lit("")), "[ \\t-\\r]+", "")).alias("chars"))
     empty = keyed.filter("chars = 0 OR id IS NULL").select("row.*")

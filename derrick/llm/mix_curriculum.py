@@ -27,10 +27,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from derrick.llm.common import cols, documents, space_words
+from derrick.llm.common import cols, documents, settled, space_words
 from derrick.sources.scratch import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -67,9 +67,11 @@ def sized(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     the struct of its columns."""
     body = F.coalesce(F.col(text), F.lit(""))
     label = F.coalesce(F.col(doc_id).cast("string"), F.lit("?"))
+    named = F.when(F.col(source).isNull(), "0").otherwise(F.concat(F.lit("1"), F.col(source)))
     return docs.select(
         F.struct(*cols(docs)).alias("__row") if keep else F.col(doc_id).alias("doc_id"),
         F.col(source).alias("__source"),
+        named.alias("__src"),
         F.size(space_words(F.col(text))).cast("long").alias("size"),
         F.md5(F.concat(label, F.lit(":"), F.md5(body))).alias("__place"),
     )
@@ -102,11 +104,14 @@ def targets(blocks: DataFrame, weights: Sequence[int] = WEIGHTS) -> DataFrame:
 
 def plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS,
          schedules: Sequence[Sequence[float]] = SCHEDULES) -> DataFrame:
-    """``rows`` (a written table of ``sized``) with its source's words and target, the
+    """``rows`` (from ``sized``; read twice) with its source's words and target, the
     words taken, the words of the stream before it and its training position: in
     [0, 1] where the run reaches it, above 1 in stream order where it does not."""
+    # One non-null key for the source, so that counting, joining and summing agree on
+    # where a row goes and its text is shuffled once.
     rows = rows.withColumn("__fine", F.substring("__place", 1, FINE))
-    blocks = materialize(rows.groupBy("__source", "__fine").agg(F.sum("size").alias("words")), "blocks")
+    blocks = rows.groupBy("__source", "__src", "__fine").agg(F.sum("size").alias("words"))
+    blocks = materialize(blocks, "blocks")
     sources = targets(blocks, weights).withColumnRenamed("__source", "__of")
     blocks = blocks.join(sources, F.col("__source").eqNullSafe(F.col("__of"))).drop("__of")
     blocks = blocks.withColumn("__coarse", F.substring("__fine", 1, COARSE))
@@ -119,13 +124,11 @@ def plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS,
     blocks = blocks.join(coarse, (F.col("rank") == F.col("__rank")) & (F.col("__coarse") == F.col("__block")))
     inner = Window.partitionBy("rank", "__coarse").orderBy("__fine").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(
-        F.col("__source").alias("__of"), F.col("__fine").alias("__at"), "rank", "source_size", "target",
+        F.col("__src").alias("__of"), F.col("__fine").alias("__at"), "rank", "source_size", "target",
         (F.col("__base") + F.coalesce(F.sum("words").over(inner), F.lit(0))).alias("__start"),
     )
-    rows = rows.join(
-        blocks, F.col("__source").eqNullSafe(F.col("__of")) & (F.col("__fine") == F.col("__at"))
-    )
-    own = Window.partitionBy("rank", "__fine").orderBy("__place").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.join(blocks, (F.col("__src") == F.col("__of")) & (F.col("__fine") == F.col("__at")))
+    own = Window.partitionBy("__src", "__fine").orderBy("__place").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn(
         "before", F.col("__start") + F.coalesce(F.sum("size").over(own), F.lit(0))
     ).withColumn("__budget", F.floor("target"))
@@ -142,7 +145,7 @@ def plan(rows: DataFrame, weights: Sequence[int] = WEIGHTS,
     position = F.when((F.col("before") < F.col("target")) & (F.col("size") > 0), due).otherwise(late)
     return rows.select(
         "*", taken.cast("long").alias("taken"), position.alias("position")
-    ).drop("__of", "__at", "__start", "__budget", "__fine")
+    ).drop("__of", "__at", "__start", "__budget", "__fine", "__src")
 
 
 def training_order(planned: DataFrame, schedules: Sequence[Sequence[float]] = SCHEDULES) -> DataFrame:
@@ -157,8 +160,10 @@ def training_order(planned: DataFrame, schedules: Sequence[Sequence[float]] = SC
 
 
 def op2_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = materialize(sized(documents(spark, sf_dir)), "sized")
-    planned = materialize(plan(rows), "planned").orderBy("position", "__place")
+    def make() -> DataFrame:
+        return plan(materialize(sized(documents(spark, sf_dir)), "sized"))
+
+    planned = settled(spark, "planned", make).orderBy("position", "__place")
     return planned.select(
         "doc_id", "size", "source_size", "target", "taken",
         F.round(F.col("position") * 1e6).cast("long").alias("position_ppm"),
@@ -167,8 +172,8 @@ def op2_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents the mix takes, in training order, with the columns of the plan."""
-    rows = materialize(sized(docs, keep=True), "sized")
-    planned = materialize(plan(rows).filter("taken > 0"), "planned").orderBy("position", "__place")
+    planned = settled(spark, "planned", lambda: plan(sized(docs, keep=True)).filter("taken > 0"))
+    planned = planned.orderBy("position", "__place")
     own = [F.col(f"__row.`{c}`").alias(c) for c in docs.columns if c not in _PLAN]
     return planned.select(*own, *_PLAN[:-1], F.round(F.col("position") * 1e6).cast("long").alias("position_ppm"))
 

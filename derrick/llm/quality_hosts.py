@@ -9,8 +9,8 @@ above ``max_rate``, where the failure is a habit of the host and no accident. So
 document without failures is kept on any host.
 
 Scale: words, lines and windows stay inside the row (no shuffle of text); the
-measured rows are written once without the text, then summed per host with map-side
-combine and joined with one narrow row per host, which adaptive execution
+measured rows are summed per host with map-side combine and joined with one narrow row
+per host, which adaptive execution
 broadcasts when it is small and splits against a hot host otherwise. The prior is
 one row of sums.
 
@@ -161,7 +161,7 @@ def host_verdicts(measured: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
 
 
 def judge(measured: DataFrame, max_rate: float = MAX_RATE) -> DataFrame:
-    """``measured`` (a written table) with ``kept``; false for base failures and
+    """``measured`` with ``kept``; false for base failures and
     for soft failures that the document's host is convicted of."""
     verdicts = host_verdicts(measured, max_rate).select(
         F.col("__host").alias("__of"), *(f"bad_{s}" for s in SOFT)
@@ -184,9 +184,9 @@ def op3_quality_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the rules keep, all columns as they came."""
-    judged = judge(materialize(measure(docs), "measured"))
-    return judged.filter("kept").select("__row.*")
+    """The documents that the rules keep, all columns as they came. The measures are
+    taken twice, for the hosts and for the verdicts, so no text is written for them."""
+    return judge(measure(docs)).filter("kept").select("__row.*")
 
 
 def base_sql(docs: str = "documents", keep: str = "doc_id") -> str:
