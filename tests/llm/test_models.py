@@ -160,6 +160,30 @@ def test_rare_words_take_the_same_way_as_frequent_ones(docs, monkeypatch):
         assert again[d] == (known, pytest.approx(base, abs=1e-9))
 
 
+def test_words_outside_the_core_join_the_class_of_their_neighbours(docs, monkeypatch):
+    """Nouns and verbs in turn that end alike: no hash of their ends can tell them apart."""
+    monkeypatch.setattr(brown_lm, "VOCABULARY", 10)
+    monkeypatch.setattr(brown_lm, "CLASSES", 2)
+    rng = random.Random(5)
+    nouns, verbs = [f"n{i}xx" for i in range(100)], [f"v{i}xx" for i in range(100)]
+    pick = lambda words: words[int(len(words) * rng.random() ** 2)]
+    rows = [(i, " ".join(f"{pick(nouns)} {pick(verbs)}" for _ in range(40)), "s") for i in range(150)]
+    for frequent in (100_000, 20):
+        monkeypatch.setattr(brown_lm, "FREQUENT", frequent)
+        out = [r for r in brown_lm.scores(docs(rows)).collect() if r["held_out"]]
+        gain = sum(r["score"] - r["base_score"] for r in out) / sum(r["n_tokens"] for r in out)
+        assert len(out) > 10 and gain > 0.25  # knowing the class is worth log10(2) = 0.301
+
+
+def test_transitions_and_emissions_add_up_to_one():
+    big = np.array([[3, 2, 1, 0], [1, 0, 4, 0], [2, 3, 0, 0], [0, 0, 0, 0]], dtype=float)
+    moves, spread = brown_lm.final_model(big, np.array([2, 3, 0, 0.0]), once=2)
+    assert (10**moves).sum(axis=1) == pytest.approx(np.ones(4))
+    # Class 0 has 6 tokens of two words, say 4 and 2; three words stand for the unseen.
+    assert sum((c + brown_lm.HALF) / 10 ** spread[0] for c in (4, 2)) == pytest.approx(1)
+    assert 3 / 10 ** spread[3] == pytest.approx(1)
+
+
 def test_exchange_raises_the_likelihood_to_the_planted_classes():
     rng = np.random.default_rng(2)
     n, kinds = 24, np.arange(24) % 3
