@@ -9,7 +9,10 @@ graph whose further edges say that neighbours on the page, and more so blocks of
 same container, are alike. The minimum cut, found by max-flow, is the labelling with
 the least total cost. The classifier's weights are the fixed values below.
 
-Scripts, styles, forms and comments of the markup have no text and make no blocks.
+Scripts, styles and comments of the markup have no text and make no blocks. Forms and
+their controls do; they cost more to be called content. One of them, or a silent
+element, that is never closed ends with its parent or where an article, main or section
+opens; an article or main inside a form is free of the form's cost.
 
 Scale: pages are independent; one pass, no shuffle, one page at a time in memory. The
 graph of a page has a node per run of blocks that lean alike within one container, and
@@ -43,10 +46,12 @@ _ATTR = re.compile(r"""([a-zA-Z_:][\w:.-]*)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 _SPACE = re.compile(r"\s+")
 #: Elements whose whole content is no text of the page.
 _SILENT = {
-    "script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "head",
-    "title", "form", "button", "select", "textarea", "audio", "video", "datalist", "dialog", "map",
+    "script", "style", "template", "svg", "iframe", "canvas", "title", "textarea", "audio", "video", "datalist",
 }
-_RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "svg"}
+#: What ends a silent element or a control that has no end tag, and the head.
+_LANDMARK = {"article", "main", "section"}
+_LANDED = re.compile(r"<(?:article|main|section)\b", re.I)
+_CONTROL = {"button", "select", "dialog"}
 _VOID = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source",
     "track", "wbr",
@@ -55,7 +60,9 @@ _INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em",
     "font", "i", "ins", "kbd", "label", "mark", "meter", "output", "progress", "q", "ruby", "rb",
     "rp", "rt", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u",
-    "var", "wbr", "img", "nobr",
+    "var", "wbr", "img", "nobr", "object", "map", "math", "mi", "mn", "mo", "ms", "mtext", "mrow", "mfrac",
+    "msqrt", "mroot", "msub", "msup", "msubsup", "munder", "mover", "munderover", "mtable", "mtr", "mtd",
+    "mspace", "mstyle", "mpadded", "mphantom", "mmultiscripts", "menclose", "semantics", "annotation",
 }
 #: Opening one of these ends an open paragraph.
 _ENDS_P = {
@@ -68,8 +75,10 @@ _SIBLINGS = {
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
 _SCOPE = {"table", "ul", "ol", "dl", "article", "section", "div", "body", "html", "main", "aside", "nav"}
-_OUTSIDE = {"nav": 6.0, "footer": 6.0, "aside": 6.0, "header": 4.0, "menu": 6.0, "dialog": 6.0}
+_OUTSIDE = {"nav": 6.0, "footer": 6.0, "aside": 6.0, "header": 4.0, "menu": 6.0, "dialog": 6.0, "button": 6.0, "select": 6.0}
 _INSIDE = {"article": 3.0, "main": 3.0}
+#: A form within the article is one of its controls; one around it may hold the page.
+FORM_INSIDE, FORM_AROUND = 5.0, 1.5
 _BAD = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advert(?:isement|ising)?|banner|sponsor(?:ed)?|promo(?:tion)?s?|"
     r"nav(?:bar|igation)?|menu|breadcrumbs?|foot(?:er)?|head(?:er)?|masthead|side(?:bar)?|widgets?|"
@@ -104,6 +113,7 @@ class _Open:
     number: int
     lean: float
     inside: bool
+    form: float = 0.0  # part of the lean that is due to a form around
 
 
 @dataclass
@@ -128,16 +138,23 @@ class _Page:
 
     def open(self, tag: str, attrs: str) -> None:
         above = self.stack[-1]
-        lean, inside = above.lean, above.inside
-        if tag in _INSIDE:
+        lean, inside, form = above.lean, above.inside, above.form
+        if tag == "form":
+            if inside:
+                lean = max(lean, 0.0) + FORM_INSIDE
+            elif not form:
+                form = FORM_AROUND
+                lean += form
+        elif tag in _INSIDE:
             inside = True
+            lean, form = lean - form, 0.0
             lean = min(lean, 0.0) - _INSIDE[tag] if lean <= 0 else lean
         elif tag in _OUTSIDE and not (tag == "header" and inside):
             lean = max(lean, 0.0) + _OUTSIDE[tag]
         if attrs and tag not in ("body", "html"):
             lean += _hints(attrs)
         self.numbers += 1
-        self.stack.append(_Open(tag, self.numbers, lean, inside))
+        self.stack.append(_Open(tag, self.numbers, lean, inside, form))
 
     def close(self, tag: str) -> None:
         for i in range(len(self.stack) - 1, 0, -1):
@@ -154,6 +171,13 @@ class _Page:
         if tag in _SIBLINGS:
             self._end(_SIBLINGS[tag])
 
+    def end_unclosed(self, ends: dict[str, int], at: int) -> None:
+        """End the controls that no end tag after ``at`` closes."""
+        for i in range(1, len(self.stack)):
+            if self.stack[i].tag in _CONTROL and ends[self.stack[i].tag] < at:
+                del self.stack[i:]
+                return
+
     def _end(self, tags: set[str]) -> None:
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag in tags:
@@ -181,12 +205,13 @@ def _hints(attrs: str) -> float:
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order."""
-    state, at, silent, depth = _Page(), 0, "", 0
+    state, at, in_head = _Page(), 0, False
     in_link = 0
+    ends = {t: max((m.start() for m in re.finditer(rf"</{t}\b", page, re.I)), default=-1) for t in _CONTROL | _SILENT}
     for m in _TAG.finditer(page):
         if m.start() < at:
             continue
-        if not silent and m.start() > at:
+        if not in_head and m.start() > at:
             piece = html.unescape(page[at : m.start()])
             state.parts.append(piece)
             if in_link:
@@ -196,22 +221,21 @@ def blocks(page: str) -> list[Block]:
         if not tag:
             continue
         closing, empty = bool(m[1]), tag in _VOID or (m[3] or "").rstrip().endswith("/")
-        if silent:
-            if tag == silent:
-                depth += -1 if closing else (0 if empty else 1)
-                if depth <= 0:
-                    silent = ""
-            elif silent == "head" and tag == "body" and not closing:
-                silent = ""
-                state.open(tag, m[3])
-            continue
         if tag in _SILENT and not closing:
-            if tag not in _VOID and not empty:
+            if not empty:
                 state.flush()
-                silent, depth = tag, 1
-                if tag in _RAW:
-                    end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
-                    at, silent = (end.end() if end else len(page)), ""
+                at = _silent_end(page, at, tag, ends[tag], "head" if in_head else state.stack[-1].tag)
+            continue
+        if in_head:
+            if closing and tag == "head":
+                in_head = False
+                continue
+            if closing or tag not in _LANDMARK | {"body"}:
+                continue
+            in_head = False
+        elif tag == "head" and not closing:
+            state.flush()
+            in_head = not empty
             continue
         if tag == "br":
             state.parts.append(" ")
@@ -224,15 +248,26 @@ def blocks(page: str) -> list[Block]:
         if closing:
             state.close(tag)
         elif tag not in _VOID:
+            if tag in _LANDMARK:
+                state.end_unclosed(ends, at)
             state.leave_open(tag)
             if not empty:
                 state.open(tag, m[3])
-    if not silent and at < len(page):
+    if not in_head and at < len(page):
         state.parts.append(html.unescape(page[at:]))
     state.flush()
     return state.blocks
 
 
+def _silent_end(page: str, at: int, tag: str, last: int, parent: str) -> int:
+    """Where the text goes on after a silent element that opens before ``at``: behind its
+    end tag or, if none follows, where its parent closes or a landmark opens."""
+    if last >= at:
+        return re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at).end()
+    found = [_LANDED.search(page, at), re.compile(rf"</{re.escape(parent)}\b", re.I).search(page, at) if parent else None]
+    return min((f.start() for f in found if f), default=len(page))
+
+
 def cost(b: Block, any_inside: bool) -> float:
     """Cost of calling ``b`` content less that of calling it boilerplate."""
     out = b.lean - 0.5

@@ -242,6 +242,31 @@ def test_broken_pages_do_not_crash(page):
     assert isinstance(html_mincut.main_text(page), str)
 
 
+LONG = "A paragraph of the article that has many words in it to be read by people who care for them, and then some."
+
+
+@pytest.mark.parametrize("tag", ["form", "button", "select", "dialog", "map", "object", "svg", "textarea", "title", "video"])
+def test_an_unclosed_element_does_not_cut_the_page(tag):
+    for parent in ("header", "div"):
+        page = f"<body><{parent}><{tag} x=1>Search</{parent}><article><p>{LONG}<p>{LONG}</article></body>"
+        assert html_mincut.main_text(page) == f"{LONG}\n{LONG}"
+    for mark in ("article", "main"):
+        page = f"<body><{tag} x=1>Search<{mark}><p>{LONG}<p>{LONG}</{mark}></body>"
+        assert html_mincut.main_text(page).endswith(f"{LONG}\n{LONG}")
+
+
+def test_a_form_around_the_page_leaves_its_text():
+    menu = "<nav><a href=1>one</a></nav><label>Name</label><button>Send</button>"
+    for around in ("article", "main", "div"):
+        page = f"<body><form id=aspnetForm>{menu}<{around}><p>{LONG}<p>{LONG}</{around}></form></body>"
+        assert html_mincut.main_text(page) == f"{LONG}\n{LONG}"
+
+
+def test_text_of_math_object_and_noscript_is_kept():
+    page = f"<article><p>{LONG} <math><mi>x</mi><mo>=</mo><mn>2</mn></math> <object data=f>a picture</object></p><noscript><p>{LONG}</p></noscript></article>"
+    assert html_mincut.main_text(page) == f"{LONG} x=2 a picture\n{LONG}"
+
+
 def test_min_cut_equals_trying_every_labelling():
     rng = random.Random(7)
     for _ in range(60):
