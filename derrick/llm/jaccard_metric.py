@@ -418,7 +418,8 @@ def link_edges(full: DataFrame, metric: Metric, rounds: int = 6) -> DataFrame:
 
 
 def clusters(docs: DataFrame, metric: Metric, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Every row's id, key, set size and component (smallest id that links reach)."""
+    """Every row's id, key, set size, component (smallest id that links reach) and the
+    component's root, which tells components apart where ids repeat (null: no words)."""
     rows = materialize(sets(docs, metric, doc_id, text), "rows")
     linked_to = settled(
         docs.sparkSession, "linked",
@@ -429,9 +430,9 @@ def clusters(docs: DataFrame, metric: Metric, doc_id: str = "doc_id", text: str
         "cls", "least", F.coalesce("root", "cls").alias("root")
     ), "roots")
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = roots.join(least, "root").select("cls", "component_id")
+    named = roots.join(least, "root").select("cls", "component_id", "root")
     out = rows.select("doc_id", "key", "n", F.col("cls").alias("c")).join(named, F.col("c") == F.col("cls"), "left")
-    return out.select("doc_id", "key", F.col("n").alias("n_shingles"), F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select("doc_id", "key", F.col("n").alias("n_shingles"), F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "root")
 
 
 def op6_jaccard_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -440,13 +441,13 @@ def op6_jaccard_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component the document with the smallest id (of equal ids the one with
-    the smallest key, once); documents without words or id stay.
+    the smallest key), equal rows once; documents without words or id stay.
     As no contract binds the stage, it takes five words and 0.8."""
 
     def first_of_each() -> DataFrame:
-        found = clusters(docs, NEAR).filter("component_id IS NOT NULL AND n_shingles > 0")
-        named = F.when(F.col("doc_id") == F.col("component_id"), F.col("key"))
-        return found.groupBy(F.col("component_id").alias("d")).agg(F.min(named).alias("k"))
+        found = clusters(docs, NEAR).filter("doc_id IS NOT NULL AND root IS NOT NULL")
+        first = found.groupBy("root").agg(F.min(F.struct("doc_id", "key")).alias("m"))
+        return first.select(F.col("m.doc_id").alias("d"), F.col("m.key").alias("k"))
 
     first = settled(spark, "kept-keys", first_of_each)
     keyed = docs.select(F.struct(*cols(docs)).alias("row"), F.col("doc_id").alias("id"), row_key(F.col("doc_id"), F.col("text")).alias("key"),
@@ -454,4 +455,4 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     empty = keyed.filter("chars = 0 OR id IS NULL").select("row.*")
     rest = keyed.filter("chars > 0 AND id IS NOT NULL")
     kept = rest.join(hinted(first, 40), (F.col("id") == F.col("d")) & (F.col("key") == F.col("k")), "left_semi")
-    return empty.unionByName(kept.dropDuplicates(["id"]).select("row.*"))
+    return empty.unionByName(kept.dropDuplicates(["id", "key"]).select("row.*"))

@@ -70,6 +70,15 @@ def got(docs, rows, metric):
     return sorted((tuple(r) for r in out), key=str)
 
 
+def test_stage_keeps_unrelated_texts_that_share_an_id(spark, docs):
+    rng = random.Random(6)
+    a, b, c = (" ".join(f"{x}{rng.randrange(10**6)}" for _ in range(80)) for x in "abc")
+    near = b + " end"
+    rows = [(5, a, "s"), (5, b, "s"), (9, near, "s"), (6, c, "s"), (6, c + " " + a, "s"), (6, c, "s")]
+    kept = jm.near_duplicate_stage(spark, docs(rows), "").collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == sorted([(5, a), (5, b), (6, c), (6, c + " " + a)])
+
+
 @pytest.mark.parametrize("metric", [jm.Metric(3, 90), jm.NEAR])
 def test_components_equal_all_pairs(docs, metric):
     rows = sample(1)
