@@ -76,6 +76,26 @@ def test_scan_of_awkward_rows(docs, awkward):
     assert secret_cnn.scan(docs([]), None).collect() == []
 
 
+def test_every_shape_is_a_candidate_and_none_is_a_negative():
+    t = "well then key xK9$vQ2p and qWmZpTrYbNcLsDfG or AKIA12AB, password: abc12 ghp_16C7e42F292c6912 mailbox " + "plain words " * 9
+    found = [t[a:b] for a, b in secret_cnn.candidates(t, secret_cnn.base_spans(t))]
+    assert found == ["xK9$vQ2p", "qWmZpTrYbNcLsDfG", "AKIA12AB", "abc12", "ghp_16C7e42F292c6912"]
+    odd = "x7Gh_9Kq2LmZ4t8W " * 20
+    assert secret_cnn.candidates(odd, []) and not any("7Gh_9Kq" in odd[a:b] for a, b in secret_cnn.ordinary(odd, []))
+
+
+def test_base_findings_and_short_candidates_are_scored(docs):
+    rng = random.Random(8)
+    rows = [(i, f"set token = \"{rng.randbytes(rng.randrange(5, 20)).hex()}\" and go on", "s") for i in range(120)]
+    rows += [(1000 + i, f"some plain words without any interest to us, number {i}, {'and yet ' * (i % 9)}no more of it", "s") for i in range(120)]
+    rows += [(2000 + i, f"take \"{rng.randbytes(rng.randrange(5, 15)).hex()}\" and go on", "s") for i in range(40)]
+    found = {r["doc_id"]: r for r in secret_cnn.scan(docs(rows), secret_cnn.fit(docs(rows))).collect()}
+    for i in range(120):
+        assert found[i]["n_scored"] == len(found[i]["spans"]) and all(0 <= s["score"] <= 1 for s in found[i]["spans"])
+        assert found[1000 + i]["spans"] == []
+    assert all(found[2000 + i]["n_scored"] == 1 for i in range(40))  # shorter than 16 or not
+
+
 # --- toxicity ---------------------------------------------------------------------
 
 
