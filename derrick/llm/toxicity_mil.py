@@ -11,8 +11,9 @@ worst document is not toxic for certain, nor the best one harmless).
 Words are hashed into ``2^BITS`` weights, so the model has one size at any vocabulary.
 
 Scale: the model is fitted on a bounded sample (``TRAIN_DOCS`` labelled documents of
-each label with their whole texts, chosen by a hash of the id) and travels to the tasks as an array of 2^BITS floats; scoring
-is one pass without a shuffle, whole texts, one document at a time.
+each label with their whole texts, chosen by a hash of the id; tasks turn them into arrays
+of word slots, and no text reaches the driver) and travels to the tasks as an array of
+2^BITS floats; scoring is one pass without a shuffle, whole texts, one document at a time.
 
 Learning uses only labels of rows whose crc32(doc_id as text) mod 4 is not 2; scores
 see the text alone. Edge cases: null and empty texts have no sentence and get the
@@ -39,7 +40,7 @@ from derrick.llm.common import documents
 from derrick.sources.scratch import materialize
 
 BITS = 18
-TRAIN_DOCS = 3_000
+TRAIN_DOCS = 6_000
 EPOCHS = 60
 THRESHOLD = 0.3
 _SENTENCE = re.compile(r"[.!?\n\r]+")
@@ -91,24 +92,38 @@ def _bag_logit(z: np.ndarray) -> float:
 
 
 def fit(texts: list[str | None], labels: np.ndarray, epochs: int = EPOCHS) -> Model:
+    """The model of texts at hand."""
+    known = _Slots()
+    return fit_bags([packed(t, known) for t in texts], labels, epochs)
+
+
+def packed(text: str | None, known: dict) -> bytes:
+    """A document as 32-bit numbers: the sorted word slots of its sentences, each sentence
+    closed by -1."""
+    out = array("i")
+    for s in sentences(text):
+        out.extend(sorted(slots(s, known)))
+        out.append(-1)
+    return out.tobytes()
+
+
+def fit_bags(bags: list[bytes], labels: np.ndarray, epochs: int = EPOCHS) -> Model:
     """Telling words, and their weights by Adam through the noisy-or, on four fifths of
     the documents, the curve around it on the others."""
     rate = float(np.mean(labels)) if len(labels) else 0.0
     flat = Model(np.zeros(1 << BITS, dtype=np.float32), -12.0, 0.0, float(np.log((rate + 1e-6) / (1 - rate + 1e-6))))
     if len(set(labels.tolist())) < 2:
         return flat
-    known, word, sent, bag = _Slots(), array("i"), array("i"), array("i")
-    for d, text in enumerate(texts):
-        for s in sentences(text):
-            found = slots(s, known)
-            word.extend(found)
-            sent.extend([len(bag)] * len(found))
-            bag.append(d)
-    if not word:
+    row = np.frombuffer(b"".join(bags), dtype=np.int32)
+    close = row == -1
+    bag = np.repeat(np.arange(len(bags), dtype=np.int32), [len(b) // 4 for b in bags])[close]
+    sent = np.cumsum(close, dtype=np.int32)[~close]
+    word = row[~close]
+    if not len(word):
         return flat
-    used, word = np.unique(np.array(word), return_inverse=True)
-    sent, bag, y = np.array(sent), np.array(bag), labels.astype(float)
-    n_docs, held = len(texts), np.arange(len(texts)) % 5 == 4
+    used, word = np.unique(word, return_inverse=True)
+    y = labels.astype(float)
+    n_docs, held = len(bags), np.arange(len(bags)) % 5 == 4
     weight = np.where(held, 0.0, 1.0)
     telling = _telling(word, bag[sent], y, held, len(used))
     if not telling.any():
@@ -181,8 +196,8 @@ def held_out(doc_id: Column, mod: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % mod == 2, F.lit(False))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_DOCS) -> tuple[list, np.ndarray]:
-    """Texts and labels of at most ``per_label`` documents of each label, by a hash of
+def _sample(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFrame:
+    """(text, toxic, h, doc_id) of at most ``per_label`` documents of each label, by a hash of
     the id; the ids are chosen before any text is read."""
     known = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out(F.col("doc_id"), 4))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
@@ -190,7 +205,27 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_D
     ids = [known.filter(cond).orderBy("h", "doc_id").limit(per_label) for cond in ("toxic = 1", "toxic <> 1")]
     chosen = materialize(ids[0].unionByName(ids[1]), "chosen")
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    rows = found.groupBy("doc_id", "toxic", "h").agg(F.min("text").alias("text")).orderBy("h", "doc_id").toArrow()
+    return found.groupBy("doc_id", "toxic", "h").agg(F.min("text").alias("text"))
+
+
+def training_bags(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_DOCS) -> tuple[list[bytes], np.ndarray]:
+    """The sample's documents as word slots, made in the tasks, and their labels."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = _Slots()
+        for rows in batches:
+            rows["bag"] = [packed(t, known) for t in rows.pop("text")]
+            yield rows
+
+    bags = _sample(docs, labels, per_label).select("doc_id", "toxic", "h", "text")
+    bags = materialize(bags.mapInPandas(run, "doc_id long, toxic int, h long, bag binary"), "bags")
+    rows = bags.orderBy("h", "doc_id").select("bag", "toxic").toArrow()
+    return rows["bag"].to_pylist(), np.array([int(t == 1) for t in rows["toxic"].to_pylist()])
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_DOCS) -> tuple[list, np.ndarray]:
+    """Texts and labels of the sample."""
+    rows = _sample(docs, labels, per_label).orderBy("h", "doc_id").toArrow()
     return rows["text"].to_pylist(), np.array([int(t == 1) for t in rows["toxic"].to_pylist()])
 
 
@@ -221,8 +256,8 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
 
 def trained(docs: DataFrame, labels: DataFrame) -> Model:
     """The model, its curve moved from the sample's shares of labels to those of all."""
-    texts, y = training_sample(docs, labels)
-    model = fit(texts, y)
+    bags, y = training_bags(docs, labels)
+    model = fit_bags(bags, y)
     toxic, other = shares(labels)
     if 0 < y.sum() < len(y) and toxic and other:
         moved = np.log(toxic / other) - np.log(y.sum() / (len(y) - y.sum()))

@@ -146,6 +146,17 @@ def test_no_held_out_label_is_read(spark, docs):
     assert len(few) == 10
 
 
+def test_slots_made_in_tasks_give_the_model_of_the_texts(spark, docs):
+    texts, y = bags(300, 3)
+    rows = [(i, t, "s") for i, t in enumerate(texts)]
+    labels = spark.createDataFrame([(i, 1, int(v)) for i, v in enumerate(y)], "doc_id long, quality int, toxic int")
+    known = toxicity_mil._Slots()
+    at_hand, want = toxicity_mil.training_sample(docs(rows), labels)
+    made, got = toxicity_mil.training_bags(docs(rows), labels)
+    assert made == [toxicity_mil.packed(t, known) for t in at_hand] and got.tolist() == want.tolist()
+    assert toxicity_mil.TRAIN_DOCS == 6_000
+
+
 # --- language model ---------------------------------------------------------------
 
 
