@@ -15,6 +15,7 @@ from derrick.llm import (
     mix_curriculum,
     quality_hosts,
     secret_cnn,
+    shard_packing,
     token_spans,
     toxicity_mil,
 )
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_mincut": html_mincut.op8_html_mincut,
     "op9_toxicity_mil": toxicity_mil.op9_toxicity_mil,
     "op10_brown_lm": brown_lm.op10_brown_lm,
+    "op11_shard_packing": shard_packing.op11_shard_packing,
 }
 SQL: dict[str, str] = {
     "op2_mix_curriculum": mix_curriculum.SQL,
