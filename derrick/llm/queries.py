@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from derrick.llm import (
     brown_lm,
+    conversation_repair,
     decontaminate,
     html_mincut,
     jaccard_metric,
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity_mil": toxicity_mil.op9_toxicity_mil,
     "op10_brown_lm": brown_lm.op10_brown_lm,
     "op11_shard_packing": shard_packing.op11_shard_packing,
+    "op12_conversation_repair": conversation_repair.op12_conversation_repair,
 }
 SQL: dict[str, str] = {
     "op2_mix_curriculum": mix_curriculum.SQL,
