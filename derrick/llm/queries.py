@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from derrick.llm import (
     brown_lm,
+    collocations,
     conversation_repair,
     decontaminate,
     html_mincut,
@@ -34,10 +35,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_brown_lm": brown_lm.op10_brown_lm,
     "op11_shard_packing": shard_packing.op11_shard_packing,
     "op12_conversation_repair": conversation_repair.op12_conversation_repair,
+    "op13_collocations": collocations.op13_collocations,
 }
 SQL: dict[str, str] = {
     "op2_mix_curriculum": mix_curriculum.SQL,
     "op3_quality_hosts": quality_hosts.SQL,
     "op4_decontaminate": decontaminate.SQL,
     "op7_line_dedup": line_dedup.SQL,
+    "op13_collocations": collocations.SQL,
 }
