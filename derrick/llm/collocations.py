@@ -19,8 +19,8 @@ decimals of 38 digits: exact up to 10^15 occurrences.
 Scale: a task holds the stripes of about ``TOKENS`` words at a time and sends each
 prefix once; equal extensions are summed there. Stripes of hot prefixes (more than one
 occurrence in ``HOT``, so there are at most HOT of a length; and the empty prefix of
-the single words) are dealt to ``SLOTS`` slots by their next word, all others travel
-whole. They are merged in sorted order as a stream of Arrow batches. Only phrases at
+the single words) are dealt to slots 1 to ``SLOTS`` by their next word, all others travel
+whole, in slot 0. They are merged in sorted order as a stream of Arrow batches. Only phrases at
 the threshold are written. The first ``top`` of a language are taken per salt first.
 
 Edge cases: null texts are empty, the null language is ``und``; texts without words
@@ -130,10 +130,10 @@ class _Stripes:
             code = np.unique(code, return_inverse=True)[1] * len(names) + w[at + k]
         _, first, code = np.unique(code, return_index=True, return_inverse=True)
         prefixes = [" ".join(names[w[at[f] + k]].decode() for k in range(n - 1)) for f in first]
-        slots = np.array([SLOTS if (self.lang, p) in self.hot else 1 for p in prefixes], dtype=np.uint64)
+        hot = np.array([(self.lang, p) in self.hot for p in prefixes])
         pair, times = np.unique(code * len(names) + follows, return_counts=True)
         code, follows = pair // len(names), pair % len(names)
-        slot = (hashes[follows] % slots[code]).astype(np.int64)
+        slot = np.where(hot[code], hashes[follows] % np.uint64(SLOTS) + np.uint64(1), 0).astype(np.int64)
         order = np.lexsort((follows, slot, code))
         code, follows, slot, times = code[order], follows[order], slot[order], times[order]
         starts = np.flatnonzero(np.r_[True, (np.diff(code) != 0) | (np.diff(slot) != 0)])
@@ -198,8 +198,9 @@ def merged(found: DataFrame, least: int = LEAST) -> DataFrame:
         total = np.add.reduceat(times, ends[:-1])
         keep = (times >= least) & pa.compute.not_equal(words, "").to_numpy(zero_copy_only=False)
         counts = np.add.reduceat(keep.astype(np.int64), ends[:-1])
-        some = pa.array(np.flatnonzero(counts))
-        offsets = pa.array(np.r_[0, np.cumsum(counts[counts > 0])].astype(np.int32))
+        stay = (counts > 0) | (done["slot"].to_numpy() > 0)  # a slot has its part of the total
+        some = pa.array(np.flatnonzero(stay))
+        offsets = pa.array(np.r_[0, np.cumsum(counts[stay])].astype(np.int32))
         return pa.RecordBatch.from_arrays([
             done["lang"].combine_chunks().take(some), done["prefix"].combine_chunks().take(some), pa.array(total).take(some),
             pa.ListArray.from_arrays(offsets, words.filter(pa.array(keep))),
