@@ -165,12 +165,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without a contaminated verdict, all columns as they came."""
     found = settled(spark, "hits", lambda: hits(docs, documents(spark, sf_dir, "benchmark")))
-    found = found.select(F.col("doc_id").alias("__d"), F.col("key").alias("__k"), F.col("n_hit").alias("__hit"))
-    keyed = docs.select(*cols(docs), row_key(F.col("doc_id"), F.col("text")).alias("__key"))
-    bad = keyed.join(found, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__key") == F.col("__k")), "left")
-    words = count_words(F.col("text"))
-    clean = F.col("__hit").isNull() | (SHARE * F.col("__hit") < words)
-    return bad.filter(clean).select(*[f"`{c}`" for c in docs.columns])
+    found = found.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "n_hit")
+    keyed = docs.select(F.struct(*cols(docs)).alias("row"), F.col("doc_id").alias("id"),
+                        row_key(F.col("doc_id"), F.col("text")).alias("key"), count_words(F.col("text")).alias("n_words"))
+    met = keyed.join(found, F.col("id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")), "left")
+    return met.filter(F.col("n_hit").isNull() | (SHARE * F.col("n_hit") < F.col("n_words"))).select("row.*")
 
 
 def hits_sql(docs: str, key: str) -> str:

@@ -211,7 +211,8 @@ def _let_through(index: LineIndex, found: DataFrame) -> DataFrame:
     # cut into slices so that no task holds a shard's lines together.
     slices = 64
     salted = found.withColumn("slice", F.pmod(F.xxhash64("doc", "key", "at"), F.lit(slices)))
-    spread = index.filters.select("shard", "filter", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("long").alias("slice"))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))
+    spread = index.filters.select("shard", "filter", F.explode(every).alias("slice"))
 
     def settle(key: tuple, rows: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
         if not len(filters):
@@ -231,17 +232,25 @@ def dropped(index: LineIndex, found: DataFrame) -> DataFrame:
     return lost.groupBy("doc", "key").agg(F.collect_set("at").alias("gone"))
 
 
+def _met(docs: DataFrame, gone: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``row`` (a struct of the document's columns), all its ``lines``, and ``gone``: the places
+    of those that it loses, null where it loses none."""
+    gone = gone.select(F.col("doc").alias("in_doc"), F.col("key").alias("in_key"), "gone")
+    keyed = docs.select(
+        F.struct(*cols(docs)).alias("row"), _ids(F.col(doc_id)).alias("id"),
+        row_key(F.col(doc_id), F.col(text)).alias("key"), F.col(text).alias("body"),
+    )
+    met = keyed.join(gone, (F.col("id") == F.col("in_doc")) & (F.col("key") == F.col("in_key")), "left")
+    return met.select("row", text_lines(F.col("body")).alias("lines"), "gone")
+
+
 def without(
     docs: DataFrame, gone: DataFrame, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``docs`` beside ``__lines`` (all lines) and ``__gone`` (places of those to go, from
     ``dropped``)."""
-    gone = gone.select(
-        F.col("doc").alias("__doc"), F.col("key").alias("__key"), F.col("gone").alias("__gone")
-    )
-    keyed = docs.select(*cols(docs), _ids(F.col(doc_id)).alias("__id"), row_key(F.col(doc_id), F.col(text)).alias("__row"))
-    met = keyed.join(gone, (F.col("__id") == F.col("__doc")) & (F.col("__row") == F.col("__key")), "left")
-    return met.withColumn("__lines", text_lines(F.col(text))).drop("__doc", "__key", "__id", "__row")
+    met = _met(docs, gone, doc_id, text)
+    return met.select("row.*", F.col("lines").alias("__lines"), F.col("gone").alias("__gone"))
 
 
 def _lost(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -254,10 +263,10 @@ def _lost(spark: SparkSession, docs: DataFrame) -> DataFrame:
     return settled(spark, "gone", make)
 
 
-def kept_text() -> Column:
+def kept_text(lines: str = "__lines", gone: str = "__gone") -> Column:
     """The lines that stay, joined again, of a row of ``without``."""
-    stay = F.filter("__lines", lambda s, i: ~F.array_contains("__gone", i))
-    return F.when(F.col("__gone").isNull(), F.array_join("__lines", "\n")).otherwise(F.array_join(stay, "\n"))
+    stay = F.filter(lines, lambda s, i: ~F.array_contains(gone, i))
+    return F.when(F.col(gone).isNull(), F.array_join(lines, "\n")).otherwise(F.array_join(stay, "\n"))
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,19 +283,18 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, its text without the lines that another document owns;
     ``n_chars``, where there is such a column, follows the text."""
-    done = without(docs, _lost(spark, docs))
-    new = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(kept_text())
-    done = done.withColumn("__new", new)
+    met = _met(docs, _lost(spark, docs), "doc_id", "text")
+    same = F.col("gone").isNull()
+    changed = met.select("row", same.alias("same"), F.when(~same, kept_text("lines", "gone")).alias("kept"))
     out = []
-    for c in docs.columns:
-        if c == "text":
-            out.append(F.col("__new").alias("text"))
-        elif c == "n_chars":
-            same = F.col("__gone").isNull()
-            out.append(F.when(same, F.col(c)).otherwise(F.length("__new").cast(docs.schema[c].dataType)).alias(c))
-        else:
-            out.append(F.col(f"`{c}`"))
-    return done.select(*out)
+    for field in docs.schema.fields:
+        old, new = F.col("row").getField(field.name), None
+        if field.name == "text":
+            new = F.col("kept")
+        elif field.name == "n_chars":
+            new = F.length("kept").cast(field.dataType)
+        out.append((old if new is None else F.when(F.col("same"), old).otherwise(new)).alias(field.name))
+    return changed.select(*out)
 
 
 def lines_sql(docs: str, key: str) -> str:

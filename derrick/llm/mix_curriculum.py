@@ -171,10 +171,17 @@ def op2_mix_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents the mix takes, in training order, with the columns of the plan."""
+    """The documents the mix takes, in training order: their columns, and those of the plan. A
+    column of the documents that is named like one of the plan is called ``doc_`` and its name."""
     planned = settled(spark, "planned", lambda: plan(sized(docs, keep=True)).filter("taken > 0"))
     planned = planned.orderBy("position", "__place")
-    own = [F.col(f"__row.`{c}`").alias(c) for c in docs.columns if c not in _PLAN]
+    names = set(docs.columns) | set(_PLAN)
+    own = []
+    for c in docs.columns:
+        name = c
+        while name in _PLAN or (name != c and name in names):
+            name = f"doc_{name}"
+        own.append(F.col("__row").getField(c).alias(name))
     return planned.select(*own, *_PLAN[:-1], F.round(F.col("position") * 1e6).cast("long").alias("position_ppm"))
 
 
