@@ -26,8 +26,8 @@ Within a province distances vary and pivots work:
    the radius further away: a linked partner has its home there or here. Cells are cut
    again until they fit;
 6. cells that do not shrink are crowded around their pivots. What lies within the
-   radius of the first pivot is one component with it, so only pairs with a set outside
-   remain; these are compared in blocks, exactly.
+   radius of the best of some pivots is one component with it, so only pairs with a set
+   outside remain; these are compared in blocks, exactly, and yield spanning edges.
 
 Scale: texts are read twice and shuffled at most once, for the survivors; a hot class
 is one row after step 1, a hot province is cut by steps 5 and 6, never held in one
@@ -48,7 +48,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from derrick.llm.common import cols, documents, hinted, row_key, settled
@@ -82,8 +82,9 @@ NEAR = Metric(5, 80)
 #: Part of the hash space in which isolation is first counted: one in PROBE.
 PROBE = 4
 #: Shingles of one province that a task may hold.
-TASK_SHINGLES = 2_000_000
-PIVOTS = 32
+TASK_SHINGLES = 1_000_000
+#: Pivots of a cell that is cut, and pivots tried in one that no longer shrinks.
+PIVOTS, TRIED = 32, 8
 _P1, _P2 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -343,27 +344,49 @@ def _weights(cells: DataFrame) -> DataFrame:
     return cells.groupBy("cell").agg(F.sum(F.size("s")).cast("long").alias("weight"), F.count(F.lit(1)).alias("sets"))
 
 
+def _crowded(cells: DataFrame, weights: DataFrame, metric: Metric) -> DataFrame:
+    """The sets of cells that no longer shrink (cell, cls, s), each with the cell's pivot,
+    whether it is ``inside`` its radius, and its block. Of ``TRIED`` pivots drawn by hash the one
+    with most sets inside is taken; sets within its radius are one component with it."""
+    size = weights.select("cell", F.ceil(F.col("weight") / (TASK_SHINGLES / 4)).cast("int").alias("blocks"), "sets")
+    drawn = F.xxhash64("cls", "cell")
+    rows = cells.join(size, "cell")
+    near = rows.filter(F.pmod(drawn, F.col("sets")) < 2 * TRIED).groupBy("cell").agg(
+        F.slice(F.sort_array(F.collect_list(F.struct(drawn.alias("h"), "cls", "s"))), 1, TRIED).alias("drawn")
+    )
+    first = cells.groupBy("cell").agg(F.min(F.struct(F.lit(0).cast("long").alias("h"), "cls", "s")).alias("first"))
+    drawn_from = first.join(near, "cell", "left").select("cell", F.coalesce("drawn", F.array("first")).alias("drawn"))
+    rows = rows.join(drawn_from, "cell")
+
+    def linked(s: Column, p: Column) -> Column:
+        shared = F.size(F.array_intersect(s, p))
+        return 100 * shared >= metric.percent * (F.size(s) + F.size(p) - shared)
+
+    rows = rows.select("cell", "cls", "s", "blocks", F.transform("drawn", lambda p: p["cls"]).alias("names"),
+                       F.transform("drawn", lambda p: linked(F.col("s"), p["s"])).alias("links"))
+    rows = materialize(rows, "crowded")
+    counts = rows.select("cell", F.posexplode("links").alias("at", "link")).groupBy("cell", "at").agg(F.count_if("link").alias("n"))
+    best = counts.groupBy("cell").agg(F.max(F.struct("n", (-F.col("at")).alias("at"))).alias("best")).select("cell", (-F.col("best.at")).alias("at"))
+    rows = rows.join(best, "cell")
+    return rows.select("cell", "cls", "s", F.get("names", F.col("at")).alias("pivot"), F.get("links", F.col("at")).alias("inside"),
+                       "blocks", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("block"))
+
+
 def _in_blocks(
     cells: DataFrame, weights: DataFrame, metric: Metric
 ) -> tuple[DataFrame, DataFrame]:
-    """Edges of cells that no longer shrink. The cell's smallest set is the pivot; what
-    is within the radius is one component with it. The sets outside are dealt to
-    blocks, and each block meets all blocks of the cell in turn."""
-    first = cells.groupBy("cell").agg(F.min(F.struct("cls", "s")).alias("p"))
-    first = first.select("cell", F.col("p.cls").alias("pivot"), F.col("p.s").alias("ps"))
-    size = weights.select("cell", F.ceil(F.col("weight") / (TASK_SHINGLES / 4)).cast("int").alias("blocks"))
-    rows = cells.join(first.join(size, "cell"), "cell")
-    shared = F.size(F.array_intersect("s", "ps"))
-    link = 100 * shared >= metric.percent * (F.size("s") + F.size("ps") - shared)
-    rows = rows.select("cell", "cls", "s", "pivot", "blocks", link.alias("inside"),
-                       F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int").alias("block"))
-    rows = materialize(rows, "crowded")
+    """Edges that connect the linked sets of cells that no longer shrink: those to the
+    pivot, and those of the sets outside its radius. The sets outside are dealt to
+    blocks, and each block meets all blocks of the cell in turn; what an earlier edge of
+    the two blocks connects, or the pivot, gets no further one."""
+    rows = materialize(_crowded(cells, weights, metric), "blocks")
     edges = rows.filter("inside AND cls <> pivot").select(F.col("cls").alias("a"), F.col("pivot").alias("b"))
     outside = rows.filter("NOT inside").select("cell", "cls", "s", "block",
         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("with"))
     has = rows.filter("NOT inside").select("cell", "block").distinct().withColumnRenamed("block", "from")
-    others = rows.join(has, "cell").select(
-        F.col("cell").alias("in"), F.col("cls").alias("cls"), F.col("s").alias("s"),
+    # Two sets outside meet once: in the pair of blocks whose second is not the smaller one.
+    others = rows.join(has, "cell").filter("inside OR block >= from").select(
+        F.col("cell").alias("in"), F.col("cls").alias("cls"), F.col("s").alias("s"), "inside",
         F.col("from").alias("mine"), F.col("block").alias("rest"),
     )
 
@@ -374,11 +397,21 @@ def _in_blocks(
             arrays = [np.asarray(x) for x in rest["s"]] + [np.asarray(x) for x in mine["s"]]
             s, g = Sets(arrays), len(rest)
             names = rest["cls"].tolist()
+            inside = rest["inside"].to_numpy(dtype=bool)
+            root: dict[bytes, bytes] = {}
+
+            def find(x: bytes) -> bytes:
+                while x in root:
+                    root[x] = x = root.get(root[x], root[x])
+                return x
+
             for i, cls in enumerate(mine["cls"]):
                 k = g + i
                 hit = metric.linked(s.shared(s.own(k), np.arange(len(arrays)))[:g], s.n[:g], s.n[k])
                 for j in np.flatnonzero(hit):
-                    if names[j] != cls:
+                    x, y = find(cls), find(b"" if inside[j] else names[j])  # all inside are one
+                    if x != y:
+                        root[max(x, y)] = min(x, y)
                         a.append(cls)
                         b.append(names[j])
         return pd.DataFrame({"a": a, "b": b}, dtype=object)

@@ -142,3 +142,30 @@ def test_components_of_chains_and_stars(spark):
     assert all(out[i] == 0 for i in range(61)) and all(out[k] == 100 for k in range(200, 240))
     assert (out[300], out[301]) == (300, 300) and 7 in out and len(out) == 61 + 41 + 2
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+@pytest.mark.parametrize("limit", [10**9, 40_000])
+def test_crowded_cells_give_spanning_edges(spark, monkeypatch, limit):
+    """Copies that differ more and more from a pivot: many pairs link, few edges come."""
+    monkeypatch.setattr(jm, "TASK_SHINGLES", limit)
+    rng, metric, n = np.random.default_rng(4), jm.Metric(3, 90), 500
+    base = rng.integers(0, 2**62, 150)
+    sets = [np.unique(np.concatenate([base[int(rng.integers(0, 12)):], rng.integers(0, 2**62, int(rng.integers(0, 12)))])) for _ in range(n)]
+    rows = [(b"c", i.to_bytes(4, "big"), s.tolist()) for i, s in enumerate(sets)]
+    cells = spark.createDataFrame(rows, "cell binary, cls binary, s array<long>").repartition(3)
+    found = jm._in_blocks(cells, jm._weights(cells), metric)
+    edges = [(int.from_bytes(a, "big"), int.from_bytes(b, "big")) for part in found for a, b in part.collect()]
+    blocks = max(1, -(-sum(map(len, sets)) // (limit // 4)))
+    assert len(edges) < n * (1 if blocks == 1 else blocks)
+    root = list(range(n))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        assert metric.linked(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]))
+        root[find(a)] = find(b)
+    plain = {(i, j) for i in range(n) for j in range(i) if 10 * len(np.intersect1d(sets[i], sets[j])) >= 9 * len(np.union1d(sets[i], sets[j]))}
+    assert len(plain) > 20 * n and all(find(i) == find(j) for i, j in plain)
