@@ -8,10 +8,12 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from derrick.operators.exact_forest import ExactForest, fit_exact_forest, predict_exact
+
 _VECTOR = "_features"
 # Room for the statistics of the nodes that one pass over the data splits; with
 # too little, a level of the forest takes several passes.
@@ -19,8 +21,8 @@ _NODE_MEMORY_MB = 1024
 #: Partitions a training set is dealt to, whatever the cluster: more executors than
 #: this do not shorten a training. Part of the model, like its seed.
 TRAIN_PARTITIONS = 64
-#: Deepest tree the engine grows, and the most values a split tells apart.
-MAX_DEPTH, MAX_BINS = 30, 32
+#: Values of a feature that a split of the classifier tells apart.
+MAX_BINS = 32
 
 
 def feature_vector(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -48,24 +50,12 @@ def fit_forest_regressor(
     features: Sequence[str],
     target: str,
     trees: int = 100,
-    depth: int = MAX_DEPTH,
+    depth: int | None = None,
     seed: int = 42,
-    bins: int = MAX_BINS,
-):
-    """Every split may use every feature. Trees grow until their leaves are pure or as
-    deep as the engine allows (30): each level is a pass over the data, and rows remember
-    their node meanwhile. ``bins`` bounds the candidate cuts of a feature."""
-    return RandomForestRegressor(
-        featuresCol=_VECTOR,
-        labelCol=target,
-        numTrees=trees,
-        maxDepth=depth,
-        maxBins=bins,
-        featureSubsetStrategy="all",
-        seed=seed,
-        maxMemoryInMB=_NODE_MEMORY_MB,
-        cacheNodeIds=True,
-    ).fit(training_set(train, features, [target]))
+) -> ExactForest:
+    """Every split may use every feature and any cut of it. Trees grow until their leaves
+    are pure, or to ``depth``."""
+    return fit_exact_forest(train, features, target, trees, depth, seed)
 
 
 def balanced_weights(train: DataFrame, label: str, weight: str = "_weight") -> DataFrame:
@@ -104,6 +94,8 @@ def fit_forest_classifier(
 
 
 def predict(model, df: DataFrame, features: Sequence[str], output: str = "predicted") -> DataFrame:
+    if isinstance(model, ExactForest):
+        return predict_exact(model, df, features, output)
     scored = model.transform(feature_vector(df, features))
     return scored.withColumn(output, F.col("prediction")).select(*df.columns, output)
 

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from derrick.operators.models import (
-    MAX_DEPTH,
     fit_forest_regressor,
     fit_linear,
     predict,
@@ -32,7 +31,7 @@ def train_production_model(
     dataset: DataFrame,
     test_fraction: float = 0.2,
     trees: int = 100,
-    depth: int = MAX_DEPTH,
+    depth: int | None = None,
     seed: int = 42,
 ) -> ProductionModel:
     """Fit both models on the training rows; the forest's test predictions are kept."""

@@ -90,6 +90,37 @@ def reg_model_metrics(spark, d):
     return plain(views.ml_metrics(train_production_model(_targets(spark, d, False)).metrics), 3)
 
 
+_CUTS = 61
+
+
+@query(
+    "rf_many_cuts",
+    f"""WITH rows_ AS (SELECT o_orderkey AS well_id, CAST(o_orderdate AS DATE) AS production_date,
+            (o_orderkey % {_CUTS})::DOUBLE AS x, (o_orderkey % {_CUTS} * 17 % {_CUTS})::DOUBLE AS actual FROM orders),
+        split_ AS (SELECT *, row_number() OVER (ORDER BY
+            ('0x' || substr(md5(concat_ws('|', '42', well_id, production_date)), 1, 13))::BIGINT)
+            <= ceil(0.2::DOUBLE * count(*) OVER ()) AS is_test FROM rows_),
+        known AS (SELECT DISTINCT x FROM split_ WHERE NOT is_test)
+        SELECT well_id, {day('production_date')} AS production_date, {r('x')} AS avg_pressure,
+            {r('actual')} AS actual, {r('actual')} AS predicted FROM split_ JOIN known USING (x) WHERE is_test""",
+)
+def rf_many_cuts(spark, d):
+    """A target that jumps at each of 60 cut points, all of which every tree must find."""
+    orders = table(spark, d, "orders")
+    value = F.col("o_orderkey") % _CUTS
+    rows = materialize(
+        orders.select(
+            F.col("o_orderkey").alias("well_id"), F.to_date("o_orderdate").alias("production_date"),
+            value.cast("double").alias("avg_pressure"), F.lit(60.0).alias("avg_temperature"),
+            F.lit(5.0).alias("avg_power"), F.lit(8.0).alias("avg_pump_hours"),
+            (value * 17 % _CUTS).cast("double").alias("target_oil_tons"),
+        ),
+        "many-cuts",
+    )
+    made = train_production_model(rows)
+    return plain(made.predictions.select("well_id", "production_date", "avg_pressure", "actual", "predicted"))
+
+
 # --- failure model ----------------------------------------------------------------
 
 _FAILURES = "event_type = 'error' AND event_id % 7 = 0"
