@@ -6,7 +6,7 @@ from derrick.plans import failure_risk, features, marts, production_model, views
 from derrick.schemas import TABLES
 from derrick.sources.export import export_all
 from derrick.sources.scratch import materialize, scratch_scope
-from derrick.sources.stores import Store, reconcile, replace_counted
+from derrick.sources.stores import Store, reconcile_content, replace_counted, replace_verified
 
 MARTS = ("mart_production", "mart_failures", "mart_logistics", "mart_ml_dataset")
 
@@ -34,7 +34,7 @@ def run_features(source: Store, *targets: Store) -> dict[str, int]:
 
 
 def run_marts(source: Store, target: Store) -> dict[str, int]:
-    """The four marts; a table that reads back other than written is an error."""
+    """The four marts; a table whose content reads back other than written is an error."""
     t = {name: source.read(name) for name in TABLES}
     tables = {
         "mart_production": marts.mart_production(t["production"], t["wells"], t["telemetry"]),
@@ -42,11 +42,11 @@ def run_marts(source: Store, target: Store) -> dict[str, int]:
         "mart_logistics": marts.mart_logistics(t["deliveries"]),
         "mart_ml_dataset": marts.mart_ml_dataset(t["well_targets"], t["wells"]),
     }
-    written = {name: replace_counted(target, name, df) for name, df in tables.items()}
-    lost = [r["table_name"] for r in reconcile(target, written).filter("not matches").collect()]
+    written = {name: replace_verified(target, name, df) for name, df in tables.items()}
+    lost = [r["table_name"] for r in reconcile_content(target, written).filter("not matches").collect()]
     if lost:
         raise RuntimeError(f"rows read back differ from rows written: {lost}")
-    return written
+    return {name: seen.rows for name, seen in written.items()}
 
 
 def run_ml_dataset(source: Store, target: Store) -> int:

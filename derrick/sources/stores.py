@@ -5,12 +5,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from derrick.schemas import TABLES
+from derrick.sources.fingerprint import Fingerprint, fingerprint, sums
+from derrick.sources.versioned import VersionedStore
 
 
 def _schema_of(name: str) -> T.StructType | None:
@@ -55,7 +58,24 @@ class ParquetStore:
         return (reader.schema(schema) if schema else reader).parquet(self.path(name))
 
     def replace(self, name: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.path(name))
+        """The rows are written beside the table, which gives way when all are there; a
+        write that fails leaves the old rows, and ``df`` may read the table. Between two
+        renames there is a moment without the table; :class:`VersionedStore` has none."""
+        fresh = f"{self.root.rstrip('/')}/_staged-{uuid4().hex}"
+        df.write.parquet(fresh)
+        jvm = self.spark._jvm
+        staged, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, self.path(name)))
+        past = jvm.org.apache.hadoop.fs.Path(f"{fresh}-past")
+        files = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        old = files.exists(target)
+        if old and not files.rename(target, past):
+            raise RuntimeError(f"{target} cannot be moved")
+        if not files.rename(staged, target):
+            if old:
+                files.rename(past, target)
+            raise RuntimeError(f"{fresh} cannot be moved to {target}")
+        if old:
+            files.delete(past, True)
 
     def append(self, name: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.path(name))
@@ -162,7 +182,7 @@ class JdbcStore:
         df.write.format("jdbc").options(**self.write_options(name)).mode("append").save()
 
 
-Store = ParquetStore | CatalogStore | JdbcStore
+Store = ParquetStore | CatalogStore | JdbcStore | VersionedStore
 
 
 def replace_counted(store: Store, name: str, df: DataFrame) -> int:
@@ -193,3 +213,24 @@ def reconcile(store: Store, written: Mapping[str, int]) -> DataFrame:
     for line in lines[1:]:
         out = out.unionByName(line)
     return out
+
+
+def replace_verified(store: Store, name: str, df: DataFrame) -> Fingerprint:
+    """Replace a table and return the fingerprint of the rows, taken during the write."""
+    seen = Observation(f"content_{name}")
+    store.replace(name, df.observe(seen, *sums(df)))
+    got = seen.get
+    return Fingerprint(int(got["rows"]), got["first"], got["second"])
+
+
+def reconcile_content(store: Store, written: Mapping[str, Fingerprint]) -> DataFrame:
+    """Fingerprints taken while writing against those of the rows read back, one line per
+    table: ``same_rows`` compares counts, ``matches`` all content. Where a store changes types
+    on the way, as a database may, hand in frames of its types."""
+    lines = []
+    for name, was in written.items():
+        now = fingerprint(store.read(name))
+        lines.append((name, was.rows, now.rows, was.rows == now.rows, was == now))
+    return store.spark.createDataFrame(
+        lines, "table_name string, written_rows long, read_rows long, same_rows boolean, matches boolean"
+    )

@@ -10,7 +10,8 @@ from derrick.schemas import TABLES, conform
 from derrick.sources.export import export_all, export_table
 from derrick.sources.loading import load_rows
 from derrick.sources.scratch import scratch_path
-from derrick.sources.stores import ParquetStore, reconcile, replace_counted
+from derrick.sources.stores import ParquetStore, reconcile, reconcile_content, replace_counted, replace_verified
+from derrick.sources.versioned import VersionedStore, ledger
 from querybook import roles
 from querybook.book import plain, query, r, table
 from querybook.roles import with_roles
@@ -193,3 +194,71 @@ def large_sums(spark, d):
     return service_kpi(orders, "year", {}, {}, {}, {"total": "money"}, count="rows_count").select(
         "year", "rows_count", F.col("total").cast("string").alias("total")
     )
+
+
+@query(
+    "reconcile_content",
+    """SELECT 'customer' AS table_name, count(*) AS written_rows, count(*) AS read_rows, 1::BIGINT AS same_rows, 1::BIGINT AS matches FROM customer
+       UNION ALL SELECT 'events', count(*), count(*), 1, 0 FROM events
+       UNION ALL SELECT 'orders', count(*), count(*) - 1, 0, 0 FROM orders""",
+)
+def reconcile_by_content(spark, d):
+    """Between writing and reading one event changes its value, one order is lost, and the
+    customers are put in another order: the count misses the first, content no one."""
+    store = ParquetStore(spark, scratch_path(spark, "content"))
+    names = ("customer", "events", "orders")
+    written = {t: replace_verified(store, t, table(spark, d, t)) for t in names}
+    events, orders = store.read("events"), store.read("orders")
+    changed = F.when(F.col("event_id") == 0, F.col("value") + 0.01).otherwise(F.col("value"))
+    one = orders.agg(F.min("o_orderkey")).first()[0]
+    store.replace("events", events.withColumn("value", changed))
+    store.replace("orders", orders.filter(F.col("o_orderkey") != one))
+    store.replace("customer", store.read("customer").repartition(5, "c_nationkey"))
+    return plain(reconcile_content(store, written))
+
+
+@query(
+    "rewrite_in_place",
+    f"""SELECT o_orderkey, {r('o_totalprice * 2', 2)} AS o_totalprice, 3::BIGINT AS commits FROM orders WHERE o_orderkey % 3 <> 0
+        UNION ALL SELECT -o_orderkey, {r('o_totalprice', 2)}, 3 FROM orders WHERE o_orderkey % 3 = 0""",
+)
+def rewrite_in_place(spark, d):
+    """A versioned table is rewritten from itself, then appended to; the first commit can
+    still be read."""
+    store = VersionedStore(spark, scratch_path(spark, "versioned"))
+    store.replace("orders", table(spark, d, "orders").select("o_orderkey", "o_totalprice"))
+    now = store.read("orders")
+    store.replace("orders", now.filter("o_orderkey % 3 <> 0").withColumn("o_totalprice", F.col("o_totalprice") * 2))
+    first = store.read("orders", 1).filter("o_orderkey % 3 = 0")
+    store.append("orders", first.withColumn("o_orderkey", -F.col("o_orderkey")))
+    return plain(store.read("orders").withColumn("commits", F.lit(len(store.commits("orders")))), 2)
+
+
+@query(
+    "load_batches",
+    with_roles(
+        "production",
+        f"""WITH p AS (SELECT *, year(production_date) AS y FROM production),
+            n AS (SELECT y, row_number() OVER (ORDER BY y) AS place, count(*) AS rows_count FROM p GROUP BY y),
+            b AS (SELECT y, place, rows_count, sum(rows_count) OVER (ORDER BY y) AS last FROM n)
+            SELECT row_number() OVER (ORDER BY y, well_id, production_date, oil_tons) AS production_id, well_id,
+                {r('oil_tons', 2)} AS oil_tons, CAST(place - 1 AS BIGINT) AS place, CAST(y AS VARCHAR) AS batch,
+                rows_count AS batch_rows, CAST(last AS BIGINT) AS last_id FROM p JOIN b USING (y)""",
+    ),
+)
+def load_batches(spark, d):
+    """One batch a year, each loaded twice: the second load changes neither rows nor ids."""
+    store = VersionedStore(spark, scratch_path(spark, "batches"))
+    spec = TABLES["production"]
+    rows = roles.production(spark, d).drop("production_id").na.fill(0.0, ["gas_m3"])
+    year = F.year("production_date")
+    years = sorted(r[0] for r in rows.select(year).distinct().collect())
+    order = ("well_id", "production_date", "oil_tons")
+    for y in years:
+        for _ in range(2):
+            load_rows(store, spec, rows.filter(year == y), order_by=order, batch=str(y))
+    read = store.read("production").select(
+        "production_id", "well_id", "oil_tons", F.year("production_date").cast("string").alias("batch")
+    )
+    lines = ledger(store, "production").withColumnRenamed("rows", "batch_rows")
+    return plain(read.join(F.broadcast(lines), "batch"))
