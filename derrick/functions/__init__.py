@@ -4,6 +4,7 @@ from derrick.functions.dates import (
     add_hours,
     date_parts,
     days_until,
+    micros,
     parse_timestamp,
     to_day,
 )
@@ -32,6 +33,7 @@ __all__ = [
     "fraction_hash",
     "in_range_or_false",
     "measure",
+    "micros",
     "parse_timestamp",
     "per_unit",
     "round_exact",

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _col(c: Column | str) -> Column:
@@ -40,3 +43,19 @@ def date_parts(c: Column | str) -> dict[str, Column]:
         "month": F.date_format(day, "MM"),
         "day": F.date_format(day, "dd"),
     }
+
+
+def micros(df: DataFrame, c: str) -> Column:
+    """Microseconds since 1970 of a date or timestamp column; zone-free ones are counted
+    on their own clock, without any zone's changes."""
+    kind = df.schema[c].dataType
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("long") * F.lit(86_400_000_000)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c)
+    since = F.col(c).cast("timestamp_ntz") - F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz")
+    parts = {"DAY": 86_400_000_000, "HOUR": 3_600_000_000, "MINUTE": 60_000_000, "SECOND": 1_000_000}
+    out = F.lit(0).cast("long")
+    for part, size in parts.items():  # seconds come with six decimals
+        out = out + (F.extract(F.lit(part), since).cast("decimal(18,6)") * F.lit(size)).cast("long")
+    return out

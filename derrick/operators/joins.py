@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from derrick.functions import days_until, in_range_or_false, to_day
+from derrick.functions import days_until, in_range_or_false, micros, to_day
 
 def attach_dimension(fact: DataFrame, dimension: DataFrame, on: Sequence[str]) -> DataFrame:
     """Left join of a fact with attributes; no hint, so Catalyst broadcasts the
@@ -55,37 +56,35 @@ def interval_exists(
     ts: str,
     event_ts: str,
     flag: str,
-    days: int = 7,
+    days: float = 7,
+    span: timedelta | None = None,
 ) -> DataFrame:
-    """True where ``event_ts - days <= ts <= event_ts`` for some event of the entity.
-
-    The intervals are cut at midnight and summed up per (entity, day): a day is
-    covered whole, from some time on, up to some time, or not. As an interval is
-    at least a day long, no piece starts and ends inside one day, so the earliest
-    start and the latest end say everything. One equi-join on unique keys
-    replaces comparing each reading with each event.
+    """True where ``event_ts - span <= ts <= event_ts`` for some event of the entity; the
+    span is ``days`` times 24 hours unless it is given, and may be of any length.
+
+    Time is cut into bins as long as the span. A reading in bin b is covered by an event of
+    its own bin that is not earlier, or by one of the next bin at most a span later, and by
+    no other. So the latest event of a bin and the earliest of the next say everything:
+    one row per (entity, bin) with events, however long the span or many the events, and one
+    equi-join on unique keys that never multiplies readings.
     """
-    if days < 1:
-        raise ValueError("days must be at least 1")
-    pieces = events.select(
-        entity, F.col(event_ts).alias("_until"), F.explode(F.sequence(F.lit(0), F.lit(days))).alias("_i")
-    ).select(
-        entity,
-        F.date_sub(to_day("_until"), F.lit(days) - F.col("_i")).alias("_day"),
-        F.when(F.col("_i") == 0, F.col("_until") - F.expr(f"interval {days} days")).alias("_from"),
-        F.when(F.col("_i") == days, F.col("_until")).alias("_until"),
-    )
-    cover = pieces.groupBy(entity, "_day").agg(
-        F.bool_or(F.col("_from").isNull() & F.col("_until").isNull()).alias("_whole"),
-        F.min("_from").alias("_from"),
-        F.max("_until").alias("_until"),
-    )
-    hit = F.col("_whole") | (F.col(ts) >= F.col("_from")) | (F.col(ts) <= F.col("_until"))
+    length = (timedelta(days=days) if span is None else span) // timedelta(microseconds=1)
+    if length <= 0:
+        raise ValueError("the span must be positive")
+    bin_of = F.expr(f"(_at - pmod(_at, {length}L)) div {length}L")
+    happened = events.select(F.col(entity), micros(events, event_ts).alias("_at")).filter("_at IS NOT NULL").withColumn("_bin", bin_of)
+    none = F.lit(None).cast("long")
+    ends = happened.groupBy(entity, "_bin").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    here = ends.select(entity, "_bin", "_last", none.alias("_next"))
+    before = ends.select(entity, (F.col("_bin") - 1).alias("_bin"), none.alias("_last"), F.col("_first").alias("_next"))
+    cover = here.unionByName(before).groupBy(entity, "_bin").agg(F.max("_last").alias("_last"), F.min("_next").alias("_next"))
+    hit = (F.col("_at") <= F.col("_last")) | (F.col("_next") - F.col("_at") <= F.lit(length))
     return (
-        readings.withColumn("_day", to_day(ts))
-        .join(cover, [entity, "_day"], "left")
+        readings.withColumn("_at", micros(readings, ts))
+        .withColumn("_bin", bin_of)
+        .join(cover, [entity, "_bin"], "left")
         .withColumn(flag, F.coalesce(hit, F.lit(False)))
-        .drop("_day", "_whole", "_from", "_until")
+        .select(*readings.columns, flag)
     )
 
 
@@ -96,15 +95,29 @@ def attach_events(
     day: str = "date",
     event_ts: str = "failure_date",
     window_days: int = 7,
+    max_events: int = 10_000,
 ) -> DataFrame:
     """Left join with fan-out: one row per day and event of the same entity.
 
-    The output has days x events rows per entity, as this join is defined; adaptive
-    execution splits an entity with many days. ``days_before_failure`` counts whole days to the event (negative after it),
+    The output has days x events rows per entity, as this join is defined. An entity with
+    more than ``max_events`` events is dealt to slices of about so many, by a hash of the event,
+    and its days are copied to each slice: no task makes more than days x ``max_events``
+    rows of one entity, which splitting one side at run time cannot bring about.
+    ``days_before_failure`` counts whole days to the event (negative after it),
     ``failure_window_7d`` marks 0..window_days of them, ``has_failure`` a match.
     """
     before = days_until(day, event_ts)
-    return daily.join(events, list(on), "left").withColumns(
+    heavy = events.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_events)
+    heavy = heavy.select(*on, F.ceil(F.col("_n") / max_events).cast("int").alias("_slices"))
+    slices = F.coalesce("_slices", F.lit(1))
+    days = daily.join(heavy, list(on), "left").withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+    dealt = events.join(heavy, list(on), "left").withColumn("_slice", F.pmod(F.xxhash64(*events.columns), slices).cast("int"))
+    dealt = dealt.drop("_slices").withColumn("_met", F.lit(True))
+    joined = days.join(dealt, [*on, "_slice"], "left")
+    # An entity with slices has events, so a slice of it without one says nothing.
+    joined = joined.filter(F.col("_met") | F.col("_slices").isNull())
+    columns = [*daily.columns, *(c for c in events.columns if c not in on)]
+    return joined.select(*columns).withColumns(
         {
             "days_before_failure": before,
             f"failure_window_{window_days}d": in_range_or_false(before, 0, window_days),

@@ -1,4 +1,5 @@
-"""Data-quality rules as (rule, table_name, column_name, violations)."""
+"""Data-quality rules: counts as (rule, table_name, column_name, violations), and the
+verdict on every row as a bit mask."""
 
 from __future__ import annotations
 
@@ -87,18 +88,132 @@ def check_foreign_key(
     )
 
 
+def _row_rules(df: DataFrame, spec: TableSpec) -> list[tuple[str, str, Column]]:
+    present = [c for c in spec.columns if c in df.columns]
+    return not_null_rules(present) + range_rules(spec.ranges) + allowed_rules(spec.allowed)
+
+
+def _keys(df: DataFrame, spec: TableSpec) -> list[tuple[str, ...]]:
+    return [key for key in spec.keys if set(key) <= set(df.columns)]
+
+
+def _parents(spec: TableSpec, parents: Mapping[str, DataFrame] | None) -> list[tuple[str, str, str]]:
+    """(column, parent, its column) of the foreign keys whose parent is given."""
+    return [(c, p, k) for c, (p, k) in spec.parents.items() if parents and p in parents]
+
+
+def _key_hash(columns: Sequence[Column]) -> Column:
+    """128 bits for a key; nulls are values of their own."""
+    parts = [x for c in columns for x in (c.isNull(), c)]
+    first = F.xxhash64(*parts)
+    return F.struct(first.alias("h1"), F.xxhash64(F.lit(1), first, *parts).alias("h2"))
+
+
+def check_tables(frames: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]) -> DataFrame:
+    """All rules of several tables. Each table is read once for its row rules and once
+    for its keys: every unique key, foreign key and referenced key of all tables goes
+    as a hash into one aggregation, where equal keys meet (counted map-side, so a hot
+    key is one row a task), and a second one counts what is broken."""
+    parts, keyed, kinds = [], [], []
+    for name, df in frames.items():
+        spec = specs[name]
+        parts.append(count_rules(df, name, _row_rules(df, spec)))
+        asked = []
+        for key in _keys(df, spec):
+            asked.append((len(kinds), [F.col(c) for c in key], F.lit(True), F.lit(False)))
+            kinds.append(("unique", name, ",".join(key)))
+        for column, parent, parent_column in _parents(spec, frames):
+            # One type on both sides, so that equal keys have equal hashes.
+            asked.append((len(kinds), [F.col(column).cast("string")], F.col(column).isNotNull(), F.lit(False)))
+            used = frames[parent].select(F.struct(F.lit(len(kinds)).alias("kind"), _key_hash([F.col(parent_column).cast("string")]).alias("key"),
+                                                  F.lit(True).alias("known")).alias("k"))
+            keyed.append(used)
+            kinds.append(("foreign_key", name, column))
+        if asked:
+            held = F.array(*(
+                F.when(there, F.struct(F.lit(kind).alias("kind"), _key_hash(columns).alias("key"), known.alias("known")))
+                for kind, columns, there, known in asked
+            ))
+            keyed.append(df.select(F.explode(F.array_compact(held)).alias("k")))
+    if keyed:
+        rows = union_all(keyed).groupBy("k.kind", "k.key").agg(
+            F.count_if(~F.col("k.known")).alias("n"), F.max("k.known").alias("known")
+        )
+        unique = [i for i, kind in enumerate(kinds) if kind[0] == "unique"]
+        broken = F.when(F.col("kind").isin(unique), (F.col("n") > 1).cast("long")).when(~F.col("known"), F.col("n")).otherwise(0)
+        counts = rows.agg(*(F.coalesce(F.sum(F.when(F.col("kind") == i, broken)), F.lit(0)).alias(f"_{i}") for i in range(len(kinds))))
+        lines = F.array(*(
+            F.struct(F.lit(rule).alias("rule"), F.lit(t).alias("table_name"), F.lit(c).alias("column_name"), F.col(f"_{i}").alias("violations"))
+            for i, (rule, t, c) in enumerate(kinds)
+        ))
+        parts.append(counts.select(F.explode(lines).alias("v")).select("v.*"))
+    return union_all(parts)
+
+
 def check_table(
     df: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame] | None = None
 ) -> DataFrame:
     """All rules of a source table: one pass for the row rules, one aggregate per
     key, one join per foreign key whose parent is given."""
-    present = [c for c in spec.columns if c in df.columns]
-    rules = not_null_rules(present) + range_rules(spec.ranges) + allowed_rules(spec.allowed)
-    parts = [count_rules(df, spec.name, rules)]
-    parts += [check_unique(df, spec.name, key) for key in spec.keys if set(key) <= set(df.columns)]
-    for column, (parent, parent_column) in spec.parents.items():
-        if parents and parent in parents:
-            parts.append(
-                check_foreign_key(df, spec.name, column, parents[parent], parent_column)
-            )
+    parts = [count_rules(df, spec.name, _row_rules(df, spec))]
+    parts += [check_unique(df, spec.name, key) for key in _keys(df, spec)]
+    for column, parent, parent_column in _parents(spec, parents):
+        parts.append(check_foreign_key(df, spec.name, column, parents[parent], parent_column))
     return union_all(parts)
+
+
+#: Rules whose verdicts fit the bits of one mask.
+MOST_RULES = 63
+
+
+def judged_rows(
+    df: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame] | None = None, mask: str = "broken"
+) -> tuple[DataFrame, list[str]]:
+    """Every row with a bit mask of the rules that it breaks (0: none), and the rules'
+    names by bit. A row breaks ``unique`` if another row has its key, and ``foreign_key`` if
+    its key is set and has no parent.
+
+    Row rules are expressions of the one scan. Only broken keys are joined to the rows:
+    those that repeat and those without a parent come from aggregates with map-side
+    combine, and adaptive execution broadcasts them where they are few.
+    """
+    names: list[str] = []
+    bits: list[Column] = []
+
+    def add(rule: str, column: str, broken: Column) -> None:
+        if len(names) == MOST_RULES:
+            raise ValueError(f"{spec.name} has more than {MOST_RULES} rules, which a mask holds")
+        bits.append(F.when(F.coalesce(broken, F.lit(False)), F.lit(1 << len(names))).otherwise(F.lit(0)).cast("long"))
+        names.append(f"{rule}:{column}")
+
+    for rule, column, broken in _row_rules(df, spec):
+        add(rule, column, broken)
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), *(F.col(f"`{c}`").alias(c) for c in df.columns))
+    marks: list[str] = []
+    for key in _keys(df, spec):
+        mark = f"_u{len(marks)}"
+        own = [f"_k{i}" for i in range(len(key))]
+        repeated = df.groupBy(*(F.col(c).alias(k) for c, k in zip(key, own))).agg(F.count(F.lit(1)).alias("_n"))
+        repeated = repeated.filter("_n > 1").select(*own, F.lit(True).alias(mark))
+        met = [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(key, own)]
+        rows = rows.join(repeated, met, "left").drop(*own)
+        add("unique", ",".join(key), F.col(mark))
+        marks.append(mark)
+    for column, parent, parent_column in _parents(spec, parents):
+        mark = f"_f{len(marks)}"
+        used = df.select(F.col(column).alias("_k")).filter("_k IS NOT NULL").distinct()
+        known = parents[parent].select(F.col(parent_column).alias("_k"))
+        orphans = used.join(known, "_k", "left_anti").select("_k", F.lit(True).alias(mark))
+        rows = rows.join(orphans, F.col(column) == F.col("_k"), "left").drop("_k")
+        add("foreign_key", column, F.col(mark))
+        marks.append(mark)
+    total = bits[0]
+    for bit in bits[1:]:
+        total = total.bitwiseOR(bit)
+    return rows.select("row.*", total.alias(mask)), names
+
+
+def broken_names(mask: str, names: Sequence[str]) -> Column:
+    """The names of a mask's rules, in the order of the bits."""
+    named = F.array(*(F.when(F.col(mask).bitwiseAND(F.lit(1 << i)) != 0, F.lit(n)) for i, n in enumerate(names)))
+    return F.array_compact(named)

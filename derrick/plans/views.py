@@ -11,7 +11,7 @@ from derrick.functions import band, per_unit, round_half_up
 from derrick.operators.aggregates import service_kpi
 from derrick.operators.ranking import dense_row_id, top_n
 from derrick.schemas import as_measures
-from derrick.sources.catalog import register
+from derrick.sources.catalog import ViewGraph
 
 
 def daily_production(mart: DataFrame) -> DataFrame:
@@ -235,7 +235,17 @@ def build_views(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return made
 
 
+def view_graph(tables: Mapping[str, DataFrame]) -> ViewGraph:
+    """The views whose table is given, with their dependencies, not registered yet."""
+    graph = ViewGraph(dict(tables))
+    for name, (source, build) in VIEWS.items():
+        if source in graph.tables or source in graph.views:
+            graph.define(name, [source], build)
+    return graph
+
+
 def register_views(tables: Mapping[str, DataFrame]) -> list[str]:
-    """Register the tables and their views in the session catalog."""
-    register(tables)
-    return register(build_views(tables))
+    """Register the tables and their views in the session catalog; the views' names."""
+    graph = view_graph(tables)
+    graph.create()
+    return list(graph.views)

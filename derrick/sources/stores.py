@@ -3,7 +3,7 @@ and ``exists``; locations and secrets are parameters and have no defaults."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from uuid import uuid4
 
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from derrick.operators.quantile import places
 from derrick.schemas import TABLES
 from derrick.sources.fingerprint import Fingerprint, fingerprint, sums
 from derrick.sources.versioned import VersionedStore
@@ -104,19 +105,53 @@ class CatalogStore:
         df.write.mode("append").saveAsTable(self._full(name))
 
 
+def cut_query(table: str, key: str, parts: int) -> str:
+    """SQL (any database with window functions) for the keys that cut the rows of ``table`` into
+    ``parts`` equal counts: at most ``parts`` - 1 rows."""
+    numbered = f"select {key} as cut, row_number() over (order by {key}) as place, count(*) over () as rows_all from {table} where {key} is not null"
+    step = f"cast(ceiling(rows_all * 1.0 / {parts}) as bigint)"
+    return f"select distinct cut from ({numbered}) numbered where place % {step} = 0 and place < rows_all order by cut"
+
+
+def counted_cuts(df: DataFrame, key: str, parts: int) -> list[float]:
+    """The same cuts for a frame: exact order statistics of a numeric key, taken by
+    aggregates alone (keys above 2^53 are cut at the nearest double)."""
+
+    def ranks(_: str, rows: int) -> list[int]:
+        step = max(1, -(-rows // parts))
+        return [p - 1 for p in range(step, rows, step)]
+
+    at = places(df.select(key), [key], ranks).at[key]
+    return sorted({p.value for p in at.values()})
+
+
+def range_predicates(key: str, cuts: Sequence[object]) -> list[str]:
+    """Conditions that part all rows: up to and with each cut, and what lies above the last;
+    null keys are in the first."""
+    ordered = sorted(set(cuts))
+    if not ordered:
+        return ["1 = 1"]
+    first = [f"{key} <= {ordered[0]} or {key} is null"]
+    middle = [f"{key} > {a} and {key} <= {b}" for a, b in zip(ordered, ordered[1:])]
+    return [*first, *middle, f"{key} > {ordered[-1]}"]
+
+
 @dataclass(frozen=True)
 class JdbcStore:
     """Tables of a relational database.
 
     Reads split on the table's surrogate key, so that every task fetches one key
-    range; the bounds come from a one-row query the database answers from its
-    index. They only place the cuts: rows outside still arrive.
+    range. With ``counted``, the cuts are keys at equal counts of rows, which the database
+    numbers by its index, so gaps and crowded stretches of ids give no empty or heavy
+    tasks. Otherwise they are equal parts of the span from the smallest to the largest.
+    Cuts only part the rows: all of them arrive, a null key and keys outside too.
     """
 
     spark: SparkSession
     url: str
     options: Mapping[str, str] = field(default_factory=dict)
     partitions: int = 32
+    counted: bool = True
     fetch_rows: int = 10_000
     write_rows: int = 10_000
 
@@ -164,6 +199,12 @@ class JdbcStore:
     def read(self, name: str) -> DataFrame:
         spec = TABLES.get(name)
         split_on = spec.surrogate if spec else None
+        if split_on and self.counted:
+            cuts = [r[0] for r in self.query(cut_query(name, split_on, self.partitions)).collect()]
+            return self.spark.read.jdbc(
+                self.url, name, predicates=range_predicates(split_on, cuts),
+                properties={**self.options, "fetchsize": str(self.fetch_rows)},
+            )
         low = high = None
         if split_on:
             low, high = self.query(

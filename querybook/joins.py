@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from derrick.functions import add_hours, to_day
@@ -257,6 +259,51 @@ def interval_exists_query(spark, d):
     return plain(marked.select("sensor_id", "pump_id", "near"))
 
 
+_SPANS = {"near_10m": timedelta(minutes=10), "near_36h": timedelta(hours=36), "near_20d": timedelta(days=20, seconds=1)}
+
+
+@query(
+    "interval_any_length",
+    with_roles(
+        "pump_sensors pump_failures",
+        "SELECT sensor_id, pump_id, " + ", ".join(
+            flag(f"""EXISTS (SELECT 1 FROM pump_failures f WHERE f.pump_id = s.pump_id
+                AND s.sensor_ts BETWEEN f.failure_ts - to_seconds({span.total_seconds():.0f}) AND f.failure_ts)""") + f" AS {name}"
+            for name, span in _SPANS.items()
+        ) + " FROM pump_sensors s",
+    ),
+)
+def interval_any_length(spark, d):
+    """Readings before a failure, from ten minutes to twenty days and a second."""
+    marked = roles.pump_sensors(spark, d)
+    for name, span in _SPANS.items():
+        marked = interval_exists(marked, roles.pump_failures(spark, d), "pump_id", "sensor_ts", "failure_ts", name, span=span)
+    return plain(marked.select("sensor_id", "pump_id", *_SPANS))
+
+
+_FANNED = """CASE WHEN o_orderkey % 2 = 0 THEN 0 ELSE o_custkey END"""
+
+
+@query(
+    "fanout_hot_entity",
+    f"""WITH days AS (SELECT DISTINCT {_FANNED} AS k, CAST(o_orderdate AS DATE) AS date FROM orders WHERE dayofyear(o_orderdate) = 1),
+        events AS (SELECT {_FANNED} AS k, o_orderkey AS failure_id, CAST(o_orderdate AS DATE) AS f FROM orders)
+        SELECT days.k, {day('date')} AS date, CAST(failure_id AS DOUBLE) AS failure_id,
+            CAST(date_diff('day', date, f) AS DOUBLE) AS days_before_failure,
+            {flag("coalesce(date_diff('day', date, f) BETWEEN 0 AND 7, false)")} AS failure_window_7d,
+            {flag('f IS NOT NULL')} AS has_failure
+        FROM days LEFT JOIN events ON days.k = events.k""",
+)
+def fanout_hot_entity(spark, d):
+    """One entity has half of all events; its slices give what an undivided join gives."""
+    key = F.when(F.col("o_orderkey") % 2 == 0, 0).otherwise(F.col("o_custkey")).alias("k")
+    orders = table(spark, d, "orders")
+    days = orders.filter(F.dayofyear("o_orderdate") == 1).select(key, to_day("o_orderdate").alias("date")).distinct()
+    events = orders.select(key, F.col("o_orderkey").alias("failure_id"), to_day("o_orderdate").alias("at"))
+    joined = attach_events(days, events, ["k"], event_ts="at", max_events=100).drop("at")
+    return plain(joined.withColumns({c: F.col(c).cast("double") for c in ("failure_id", "days_before_failure")}))
+
+
 @query(
     "pre_event_label",
     with_roles(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from derrick.operators.aggregates import group_sums
+from derrick.operators.aggregates import group_sums, union_all
 from derrick.plans import marts, views
 from querybook import roles
 from querybook.book import day, plain, query, r, table
@@ -215,3 +215,26 @@ def unit_cost_kpi(spark, d):
 )
 def route_kpi(spark, d):
     return plain(views.route_analytics(roles.deliveries(spark, d)))
+
+
+@query(
+    "view_replace",
+    with_roles(
+        "mart_production",
+        f"""WITH {_KPI.replace("FROM mart_production GROUP", "FROM mart_production WHERE downtime_pct < 50 GROUP")},
+            ranked AS (SELECT *, row_number() OVER (ORDER BY avg_oil_tons DESC, well_id) AS high,
+                row_number() OVER (ORDER BY avg_oil_tons, well_id) AS low, count(*) OVER () AS n FROM kpi)
+            SELECT 'vw_best_wells' AS view_name, well_name, avg_oil_tons FROM ranked WHERE high <= 5
+            UNION ALL SELECT 'vw_worst_wells', well_name, avg_oil_tons FROM ranked WHERE low <= 5
+            UNION ALL SELECT 'vw_bar_chart_top_wells', well_name, avg_oil_tons FROM ranked""",
+    ),
+)
+def view_replace(spark, d):
+    """``vw_well_kpi`` is given another definition; the three views over it follow."""
+    mart = marts.mart_production(roles.production(spark, d), roles.wells(spark, d), roles.telemetry(spark, d))
+    graph = views.view_graph({"mart_production": mart})
+    graph.create()
+    changed = graph.replace("vw_well_kpi", lambda m: views.well_kpi(m.filter("downtime_pct < 50")))
+    return plain(union_all([
+        spark.table(name).select(F.lit(name).alias("view_name"), "well_name", "avg_oil_tons") for name in changed[1:]
+    ]), 2)

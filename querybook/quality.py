@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import functions as F
 
 from derrick.operators.aggregates import date_ranges, table_counts, union_all
 from derrick.operators.quality import (
     allowed_rules,
     check_foreign_key,
-    check_table,
+    check_tables,
     check_unique,
     count_rules,
     not_null_rules,
     range_rules,
 )
 from derrick.schemas import TABLES
-from derrick.sources.scratch import materialize
 from derrick.sources.catalog import register, tables_present
+from derrick.sources.quarantine import quarantine
+from derrick.sources.scratch import materialize, scratch_path
+from derrick.sources.stores import ParquetStore
 from querybook import roles
 from querybook.book import day, plain, query, table
 
@@ -221,4 +225,59 @@ def dq_source_tables(spark, d):
     """Every rule of the source tables on the given tables in their shape, each written
     once as its source table would be."""
     frames = {name: materialize(getattr(roles, name)(spark, d), name) for name in _CHECKED}
-    return union_all([check_table(df, TABLES[n], frames) for n, df in frames.items()])
+    return check_tables(frames, TABLES)
+
+
+def _verdicts_sql(name: str) -> str:
+    """SQL for the rows of a source table that break rules, with the names of these."""
+    spec = TABLES[name]
+    columns = [c for c in spec.columns if c not in _ABSENT.get(name, ())]
+    broken = [(f"not_null:{c}", f"{c} IS NULL") for c in columns]
+    for c, (low, high, strict) in spec.ranges.items():
+        ends = [f"{c} {'<=' if strict else '<'} {low}"] if low is not None else []
+        ends += [f"{c} > {high}"] if high is not None else []
+        broken.append((f"range:{c}", " OR ".join(ends)))
+    for c, values in spec.allowed.items():
+        broken.append((f"allowed:{c}", f"{c} NOT IN ({', '.join(map(repr, values))})"))
+    for key in spec.keys:
+        if set(key) <= set(columns):
+            broken.append((f"unique:{','.join(key)}", f"count(*) OVER (PARTITION BY {', '.join(key)}) > 1"))
+    for c, (parent, key) in spec.parents.items():
+        broken.append((f"foreign_key:{c}", f"{c} IS NOT NULL AND {c} NOT IN (SELECT {key} FROM {parent} WHERE {key} IS NOT NULL)"))
+    listed = ", ".join(f"CASE WHEN {b} THEN '{n}' END" for n, b in broken)
+    return f"SELECT *, array_to_string([x FOR x IN [{listed}] IF x IS NOT NULL], ' ') AS broken_rules FROM {name}"
+
+
+@query(
+    "dq_rows",
+    roles.with_roles(
+        "wells production deliveries pump_failures",
+        f"""SELECT 'production' AS table_name, production_id AS id, broken_rules FROM ({_verdicts_sql('production')}) WHERE broken_rules <> ''
+            UNION ALL SELECT 'deliveries', delivery_id, broken_rules FROM ({_verdicts_sql('deliveries')}) WHERE broken_rules <> ''
+            UNION ALL SELECT 'pump_failures', failure_id, broken_rules FROM ({_verdicts_sql('pump_failures')}) WHERE broken_rules <> ''""",
+    ),
+)
+def dq_rows(spark, d):
+    """The rows of three source tables that break a rule, as the quarantine holds them."""
+    wells = roles.wells(spark, d)
+    lines = []
+    for name, key in (("production", "production_id"), ("deliveries", "delivery_id"), ("pump_failures", "failure_id")):
+        rows = getattr(roles, name)(spark, d)
+        clean, held = (ParquetStore(spark, scratch_path(spark, f"{kind}-{name}")) for kind in ("clean", "held"))
+        # The given tables lack some of the contract's columns, so they are read as they are.
+        quarantine(rows, TABLES[name], _AsIs(clean), _AsIs(held), {"wells": wells})
+        bad = _AsIs(held).read(name)
+        lines.append(bad.select(F.lit(name).alias("table_name"), F.col(key).alias("id"), F.array_join("broken_rules", " ").alias("broken_rules")))
+    return plain(union_all(lines))
+
+
+class _AsIs(NamedTuple):
+    """A store that reads a table in the types it was written in."""
+
+    store: ParquetStore
+
+    def replace(self, name, df):
+        self.store.replace(name + "_", df)
+
+    def read(self, name):
+        return self.store.read(name + "_")

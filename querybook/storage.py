@@ -10,7 +10,16 @@ from derrick.schemas import TABLES, conform
 from derrick.sources.export import export_all, export_table
 from derrick.sources.loading import load_rows
 from derrick.sources.scratch import scratch_path
-from derrick.sources.stores import ParquetStore, reconcile, reconcile_content, replace_counted, replace_verified
+from derrick.sources.stores import (
+    ParquetStore,
+    counted_cuts,
+    cut_query,
+    range_predicates,
+    reconcile,
+    reconcile_content,
+    replace_counted,
+    replace_verified,
+)
 from derrick.sources.versioned import VersionedStore, ledger
 from querybook import roles
 from querybook.book import plain, query, r, table
@@ -262,3 +271,24 @@ def load_batches(spark, d):
     )
     lines = ledger(store, "production").withColumnRenamed("rows", "batch_rows")
     return plain(read.join(F.broadcast(lines), "batch"))
+
+
+@query(
+    "read_splits",
+    f"""WITH skewed AS (SELECT CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey * o_orderkey ELSE o_orderkey END AS k FROM orders),
+        cuts AS ({cut_query("skewed", "k", 12)}),
+        part AS (SELECT k, (SELECT count(*) FROM cuts WHERE cut < k) AS place FROM skewed)
+        SELECT place AS split, count(*) AS rows_count, min(k) AS low, max(k) AS high FROM part GROUP BY 1""",
+)
+def read_splits(spark, d):
+    """A key with crowds and wide gaps: twelve splits of equal counts, as a database is
+    asked for them, each fetched by its own condition."""
+    key = F.col("o_orderkey")
+    skewed = table(spark, d, "orders").select(F.when(key % 5 == 0, key * key).otherwise(key).alias("k"))
+    cuts = [int(c) for c in counted_cuts(skewed, "k", 12)]
+    lines = [
+        skewed.filter(condition).agg(F.count(F.lit(1)).alias("rows_count"), F.min("k").alias("low"), F.max("k").alias("high"))
+        .select(F.lit(i).alias("split"), "rows_count", "low", "high")
+        for i, condition in enumerate(range_predicates("k", cuts))
+    ]
+    return plain(union_all(lines))
