@@ -311,10 +311,11 @@ def fit(train: DataFrame, frequent: dict[bytes, int]) -> tuple[list[bytes], np.n
 def class_strings(texts: DataFrame, table: dict[bytes, tuple[int, int]], words: DataFrame, classes: int, end: int, whole: float) -> DataFrame:
     """Per document: tokens, known ones, base score, log10(c + HALF) summed over known
     words, and the classes of its words as bytes. ``table`` has the words that travel
-    with their counts and classes, ``words`` those and others."""
+    with their counts and classes, ``words`` those and others. The other words of a text are
+    listed in order, so the n-th one belongs to the n-th open place of its bytes."""
     shared = texts.sparkSession.sparkContext.broadcast(table)
     unseen = classes + 1
-    schema = "doc_id long, key long, n_tokens long, n_known long, base double, model double, seq binary, others array<struct<word: binary, at: int>>"
+    schema = "doc_id long, key long, n_tokens long, n_known long, base double, model double, seq binary, others array<binary>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = shared.value
@@ -330,7 +331,7 @@ def class_strings(texts: DataFrame, table: dict[bytes, tuple[int, int]], words:
                 ws = tokens(t)
                 at = np.fromiter((places.get(w, last) for w in ws), np.int64, len(ws))
                 gaps = np.flatnonzero(at == last).tolist()
-                others = [{"word": ws[i], "at": i} for i in gaps]
+                others = [ws[i] for i in gaps]
                 base = end_base + float(base_log[at].sum()) - whole * (len(ws) + 1)
                 out.append((len(ws) + 1, int(end > 0) + len(ws) - len(gaps), base, float(model_log[at].sum()), kind[at].tobytes(), others))
             done = pd.DataFrame(out, columns=["n_tokens", "n_known", "base", "model", "seq", "others"])
@@ -338,8 +339,7 @@ def class_strings(texts: DataFrame, table: dict[bytes, tuple[int, int]], words:
 
     keyed = texts.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
     parts = materialize(keyed.mapInPandas(run, schema), "parts")
-    rest = parts.filter(F.size("others") > 0).dropDuplicates(["doc_id", "key"]).select("doc_id", "key", F.explode("others").alias("o"))
-    rest = rest.select("doc_id", "key", F.col("o.word").alias("word"), F.col("o.at").alias("at"))
+    rest = parts.filter(F.size("others") > 0).dropDuplicates(["doc_id", "key"]).select("doc_id", "key", F.posexplode("others").alias("at", "word"))
     met = rest.join(words, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
     place = F.col("at").cast("long") * 256 + F.coalesce("class", F.lit(unseen))
     sums = met.groupBy(F.col("doc_id").alias("d"), F.col("key").alias("q")).agg(
@@ -364,7 +364,7 @@ def _filled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if places is not None:
                 at = np.array(places, dtype=np.int64)
                 x = np.frombuffer(seq, dtype=np.uint8).copy()
-                x[at // 256] = at % 256
+                x[np.flatnonzero(x == OPEN)[at // 256]] = at % 256
                 seq = x.tobytes()
             out.append(seq)
         rows["seq"] = out

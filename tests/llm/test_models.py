@@ -11,6 +11,7 @@ from zlib import crc32
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from derrick.llm import brown_lm, html_mincut, secret_cnn, token_spans, toxicity_mil
 from llm_rows import AWKWARD
@@ -206,6 +207,56 @@ def test_words_outside_the_core_join_the_class_of_their_neighbours(docs, monkeyp
         assert len(out) > 10 and gain > 0.25  # knowing the class is worth log10(2) = 0.301
 
 
+def test_class_scores_equal_a_plain_program(docs, monkeypatch):
+    """Given the words' classes, transitions, emissions and scores are counted in loops."""
+    monkeypatch.setattr(brown_lm, "VOCABULARY", 6)
+    monkeypatch.setattr(brown_lm, "CLASSES", 3)
+    monkeypatch.setattr(brown_lm, "FREQUENT", 12)
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{int(40 * rng.random() ** 2)}" for _ in range(rng.randrange(25))), "s") for i in range(80)]
+    rows += [(9, "only here", "s"), (2, "unseen words too w1 w1", "s"), (16, "", "s"), (None, None, "s")]
+    df = docs(rows)
+    held = lambda d: d is not None and crc32(str(d).encode()) % 7 == 2
+    train = df.filter(~brown_lm.held_out(F.col("doc_id")))
+    c = Counter(w for d, t, _ in rows if not held(d) for w in brown_lm.tokens(t))
+    core, label, k, words = brown_lm.fit(train, brown_lm.frequent_words(brown_lm.word_counts(train)))
+    cls = {w: int(x) for w, x in zip(core, label)} | {bytes(r["word"]): r["class"] for r in words.collect()}
+    assert set(cls) == set(c)
+    edge, unseen = k, k + 1
+    pairs = Counter()
+    for d, t, _ in rows:
+        if not held(d):
+            path = [edge, *(cls[w] for w in brown_lm.tokens(t)), edge]
+            pairs.update(zip(path, path[1:]))
+    total, once = sum(pairs.values()), sum(n == 1 for n in c.values())
+    into, out_of = Counter(), Counter()
+    for (a, b), n in pairs.items():
+        into[b] += n
+        out_of[a] += n
+
+    def move(a, b):
+        if b == unseen:
+            return (once + 1) / (total + 2)
+        share = (into[b] + 1) / (total + k + 1)
+        return (pairs[a, b] + brown_lm.PRIOR * share) / (out_of[a] + brown_lm.PRIOR) * (1 - (once + 1) / (total + 2))
+
+    def emit(w):
+        if w not in cls:
+            return 1 / (once + 1)
+        kinds = sum(x == cls[w] for x in cls.values())
+        return (c[w] + brown_lm.HALF) / (into[cls[w]] + brown_lm.HALF * kinds)
+
+    def score(t):
+        ws = brown_lm.tokens(t)
+        path = [edge, *(cls.get(w, unseen) for w in ws), edge]
+        return sum(math.log10(move(a, b)) for a, b in zip(path, path[1:])) + sum(math.log10(emit(w)) for w in ws)
+
+    got = sorted((str(r["doc_id"]), round(r["score"], 6)) for r in brown_lm.scores(df).collect())
+    want = sorted((str(d), round(score(t), 6)) for d, t, _ in rows)
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert [g[1] for g in got] == pytest.approx([w[1] for w in want], abs=1e-5)
+
+
 def test_transitions_and_emissions_add_up_to_one():
     big = np.array([[3, 2, 1, 0], [1, 0, 4, 0], [2, 3, 0, 0], [0, 0, 0, 0]], dtype=float)
     moves, spread = brown_lm.final_model(big, np.array([2, 3, 0, 0.0]), once=2)
