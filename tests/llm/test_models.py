@@ -3,9 +3,11 @@ answers and exact sums."""
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 from zlib import crc32
 
@@ -97,6 +99,98 @@ def test_base_findings_and_short_candidates_are_scored(docs):
     assert all(found[2000 + i]["n_scored"] == 1 for i in range(40))  # shorter than 16 or not
 
 
+def _scan_plainly(text):
+    """Base findings by walking over the text, without the module's patterns."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    value = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_.=-")
+    out, i = [], 0
+    while i < len(text):
+        end = None
+        for word in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if low.startswith(word, i):
+                ends = []  # every way of taking the optional quotes
+                for j in {i + len(word), i + len(word) + (text[i + len(word) : i + len(word) + 1] in ('"', "'"))}:
+                    while text[j : j + 1] == " ":
+                        j += 1
+                    if text[j : j + 1] not in (":", "="):
+                        continue
+                    j += 1
+                    while text[j : j + 1] == " ":
+                        j += 1
+                    j += text[j : j + 1] in ('"', "'")
+                    k = j
+                    while k < len(text) and text[k] in value:
+                        k += 1
+                    if k > j:
+                        ends.append((j, k))
+                if ends:
+                    end = max(ends)
+                    break
+        if end:
+            if end[1] - end[0] >= 8:
+                out.append((i, 0, end[1]))
+            i = end[1]
+        else:
+            i += 1
+    for kind, first, letters, least in ((1, "AKIA", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 16), (2, "", set("0123456789abcdef"), 32)):
+        i = 0
+        while i < len(text):
+            k = i + len(first) if text.startswith(first, i) else i
+            while (first == "" or k > i) and k < len(text) and text[k] in letters:
+                k += 1
+            if k - i >= least and (not first or k > i + 4):
+                out.append((i, kind, k))
+            i = max(k, i + 1)
+    return sorted(out)
+
+
+def test_base_columns_equal_a_plain_scan(spark, tmp_path):
+    rng = random.Random(12)
+    parts = ["password", "PassWd", "secret", "token", "api_key", "APIKEY", "api", "_key", '"', "'", " ", "  ", ":", "=", "==", "abcdefgh", "A1b2+/_.=-",
+             "AKIA", "AKIA1234567890ABCD", "0af" * 11, "0AF" * 11, "é", "\U0001f600", "\n", "\u017f", "word ", "x" * 9]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(25))) for _ in range(400)] + [None, ""]
+    rows = [(i, t, "en", "s", None) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    names = ("n_assign", "n_access", "n_hex", "base_sha256")
+    got = {r["doc_id"]: tuple(r[n] for n in names) for r in secret_cnn.op1_secret_cnn(spark, str(tmp_path)).collect()}
+    for i, t in enumerate(texts):
+        spans = _scan_plainly(t or "")
+        line = ",".join(f"{secret_cnn.KINDS[k]}:{s}:{e}" for s, k, e in spans)
+        assert got[i] == (*(sum(k == n for _, k, _ in spans) for n in range(3)), hashlib.sha256(line.encode()).hexdigest()), t
+
+
+def test_secrets_of_other_shapes_are_found(docs):
+    """Learned from assignments, found without a key word and outside every pattern."""
+    rng = random.Random(13)
+    syllables = ["ta", "ri", "mon", "el", "sun", "pre", "ver", "lo", "ka", "dim"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randrange(1, 5)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    b64 = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(n))
+    rows = [(i, f"{prose(12)} {rng.choice(['token', 'secret', 'api_key'])} = \"{b64(rng.randrange(20, 60))}\" {prose(12)}", "s") for i in range(400)]
+    rows += [(1000 + i, prose(60 + i % 50), "s") for i in range(600)]
+    shapes = {2000: lambda: "ghp_" + b64(36), 3000: lambda: "sk-" + b64(24), 4000: lambda: f"{b64(12)}.{b64(30)}.{b64(20)}", 5000: lambda: b64(300)}
+    rows += [(k + i, f"{prose(9)} {make()} {prose(9)}", "s") for k, make in shapes.items() for i in range(25)]
+    clean = [f"{word()}_{word()}_{word()}", f"/{word()}/{word()}.txt", "192.168.17.4", "9807915762804490", "555-0134", f"{word()}@{word()}.org", f"{word()}###"]
+    rows += [(6000 + i, f"{prose(9)} {clean[i % len(clean)]} {prose(9)}", "s") for i in range(140)]
+    found = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in secret_cnn.scan(docs(rows), secret_cnn.fit(docs(rows))).collect()}
+    for k in shapes:
+        assert sum("model" in found[k + i] for i in range(25)) >= 22, k
+    wrong = sum("model" in found[i] for i in (*range(1000, 1600), *range(6000, 6140)))
+    assert wrong <= 10  # precision 0.9 among 110 and more
+
+
+def test_long_texts_are_scanned_in_linear_time():
+    def seconds(n):
+        t = 'token = "a1" x9$ ' * n
+        start = time.perf_counter()
+        secret_cnn.candidates(t, secret_cnn.base_spans(t))
+        return time.perf_counter() - start
+
+    seconds(1_000)
+    assert seconds(40_000) < 40 * max(seconds(4_000), 0.01)
+    assert seconds(20_000) < 2
+
+
 # --- toxicity ---------------------------------------------------------------------
 
 
