@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -97,10 +97,10 @@ NEAR, FAR = 1.5, 0.2
 
 @dataclass
 class Block:
-    """A run of text with its container path and the evidence of its surroundings."""
+    """A run of text with the number of its container and the evidence of its surroundings."""
 
     text: str
-    path: tuple[int, ...]
+    path: int
     lean: float
     linked: int = 0
     heading: bool = False
@@ -114,6 +114,8 @@ class _Open:
     lean: float
     inside: bool
     form: float = 0.0  # part of the lean that is due to a form around
+    block: str = ""  # the innermost tag from here that is not inline
+    container: int = 0  # and the innermost element that holds blocks
 
 
 @dataclass
@@ -125,15 +127,15 @@ class _Page:
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     numbers: int = 0
+    count: Counter = field(default_factory=Counter)  # open elements by tag
 
     def flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.parts)).strip()
         if text:
             top = self.stack[-1]
-            tag = next((o.tag for o in reversed(self.stack) if o.tag not in _INLINE), "")
-            path = tuple(o.number for o in self.stack if o.tag not in _INLINE and o.tag not in ("p", "li"))
+            tag = top.block
             heading = len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
-            self.blocks.append(Block(text, path, top.lean, self.linked, heading, top.inside))
+            self.blocks.append(Block(text, top.container, top.lean, self.linked, heading, top.inside))
         self.parts, self.linked = [], 0
 
     def open(self, tag: str, attrs: str) -> None:
@@ -154,12 +156,24 @@ class _Page:
         if attrs and tag not in ("body", "html"):
             lean += _hints(attrs)
         self.numbers += 1
-        self.stack.append(_Open(tag, self.numbers, lean, inside, form))
+        inline = tag in _INLINE
+        block = above.block if inline else tag
+        container = above.container if inline or tag in ("p", "li") else self.numbers
+        self.stack.append(_Open(tag, self.numbers, lean, inside, form, block, container))
+        self.count[tag] += 1
+
+    def _cut(self, i: int) -> None:
+        """Close all from the ``i``-th open element on."""
+        for gone in self.stack[i:]:
+            self.count[gone.tag] -= 1
+        del self.stack[i:]
 
     def close(self, tag: str) -> None:
+        if not self.count[tag]:
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
-                del self.stack[i:]
+                self._cut(i)
                 return
             if tag in _INLINE and self.stack[i].tag not in _INLINE:
                 return
@@ -173,15 +187,19 @@ class _Page:
 
     def end_unclosed(self, ends: dict[str, int], at: int) -> None:
         """End the controls that no end tag after ``at`` closes."""
+        if not any(self.count[t] for t in _CONTROL):
+            return
         for i in range(1, len(self.stack)):
             if self.stack[i].tag in _CONTROL and ends[self.stack[i].tag] < at:
-                del self.stack[i:]
+                self._cut(i)
                 return
 
     def _end(self, tags: set[str]) -> None:
+        if not any(self.count[t] for t in tags):
+            return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag in tags:
-                del self.stack[i:]
+                self._cut(i)
                 return
             if self.stack[i].tag in _SCOPE:
                 return
@@ -289,8 +307,9 @@ def cost(b: Block, any_inside: bool) -> float:
 
 def min_cut(costs: list[float], edges: list[tuple[int, int, float]]) -> list[bool]:
     """True where a node falls on the content side of the minimum cut. Node ``i`` is
-    tied to the source by its negative cost, to the sink by its positive one; the flow
-    is found by shortest augmenting paths."""
+    tied to the source by its negative cost, to the sink by its positive one. The flow grows
+    by blocking flows over shortest paths, with a current edge for every node, so a graph
+    that is a chain takes a few rounds over its edges."""
     n = len(costs)
     source, sink = n, n + 1
     graph: list[list[int]] = [[] for _ in range(n + 2)]
@@ -308,26 +327,45 @@ def min_cut(costs: list[float], edges: list[tuple[int, int, float]]) -> list[boo
     for a, b, w in edges:
         add(a, b, w, w)
     while True:
-        came = [-1] * (n + 2)
-        came[source] = -2
+        level = [-1] * (n + 2)
+        level[source] = 0
         queue = deque([source])
-        while queue and came[sink] == -1:
+        while queue:
             a = queue.popleft()
             for e in graph[a]:
-                if room[e] > 1e-12 and came[to[e]] == -1:
-                    came[to[e]] = e
+                if room[e] > 1e-12 and level[to[e]] < 0:
+                    level[to[e]] = level[a] + 1
                     queue.append(to[e])
-        if came[sink] == -1:
-            return [came[i] != -1 for i in range(n)]
-        flow, at = float("inf"), sink
-        while at != source:
-            flow = min(flow, room[came[at]])
-            at = to[came[at] ^ 1]
-        at = sink
-        while at != source:
-            room[came[at]] -= flow
-            room[came[at] ^ 1] += flow
-            at = to[came[at] ^ 1]
+        if level[sink] < 0:
+            return [level[i] >= 0 for i in range(n)]
+        current = [0] * (n + 2)
+        path: list[int] = []
+        at = source
+        while True:
+            if at == sink:
+                flow = min(room[e] for e in path)
+                full = len(path)
+                for k, e in enumerate(path):
+                    room[e] -= flow
+                    room[e ^ 1] += flow
+                    if room[e] <= 1e-12:
+                        full = min(full, k)
+                at = to[path[full] ^ 1]  # go on from before the first full edge
+                del path[full:]
+                continue
+            edges_here = graph[at]
+            while current[at] < len(edges_here):
+                e = edges_here[current[at]]
+                if room[e] > 1e-12 and level[to[e]] == level[at] + 1:
+                    path.append(e)
+                    at = to[e]
+                    break
+                current[at] += 1
+            else:
+                if at == source:
+                    break
+                at = to[path.pop() ^ 1]
+                current[at] += 1
 
 
 def labels(found: list[Block]) -> list[bool]:
@@ -344,7 +382,7 @@ def labels(found: list[Block]) -> list[bool]:
             nodes.append([i])
     sums = [sum(costs[i] for i in node) for node in nodes]
     edges = []
-    before: dict[tuple[int, ...], int] = {}
+    before: dict[int, int] = {}
     for k, node in enumerate(nodes):
         path = found[node[0]].path
         if k:

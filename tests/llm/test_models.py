@@ -504,3 +504,41 @@ def test_offsets_cut_the_text_where_the_sections_start(docs):
     with pytest.raises(ValueError):
         token_spans.section_tokens(docs([]), rule="none")
     assert token_spans.section_tokens(docs([])).collect() == []
+
+
+def test_long_and_deep_pages_take_linear_time():
+    """Blocks that lean to and fro, deep nesting, end tags without a start."""
+    long = "word " * 30
+    flicker = "<body>" + "".join(f"<div><p>{long}{i}</p></div><div class='menu'><a href='x'>menu {i}</a></div>" for i in range(5_000)) + "</body>"
+    deep = "<div>" * 5_000 + "".join(f"{long}{i}<p>" for i in range(3_000))
+    lost = "<div>" * 3_000 + f"<p>{long}</span></li></nav>" * 5_000
+    for page in (flicker, deep, lost):
+        start = time.perf_counter()
+        found = html_mincut.blocks(page)
+        html_mincut.labels(found)
+        assert time.perf_counter() - start < 4, len(found)
+    costs = [(-1) ** i * (1 + i % 7) * 0.4 for i in range(10_000)]
+    edges = [(i - 1, i, html_mincut.NEAR) for i in range(1, 10_000)] + [(i - 2, i, html_mincut.NEAR) for i in range(2, 10_000)]
+    start = time.perf_counter()
+    html_mincut.min_cut(costs, edges)
+    assert time.perf_counter() - start < 4
+
+
+def test_planted_pages_give_their_main_text():
+    """Pages put together from known parts: the parts of the article come back, no other."""
+    rng = random.Random(17)
+    words = ["river", "stone", "market", "engine", "letter", "winter", "garden", "signal", "bridge", "paper"]
+    prose = lambda n: " ".join(rng.choice(words) for _ in range(n)).capitalize() + "."
+    links = lambda n: "".join(f"<li><a href='/{i}'>{rng.choice(words).title()}</a></li>" for i in range(n))
+    caught = extra = total = 0
+    for _ in range(60):
+        main = [prose(rng.randrange(25, 90)) for _ in range(rng.randrange(2, 9))]
+        body = "".join(f"<p>{t}</p>" for t in main)
+        inside = rng.choice(["<article>{}</article>", "<div class='content'>{}</div>", "<main><div>{}</div></main>", "<div id='post'>{}</div>"]).format(body)
+        before = rng.choice(["", f"<header><a href='/'>{prose(3)}</a></header>"]) + rng.choice([f"<nav><ul>{links(7)}</ul></nav>", f"<div class='menu'><ul>{links(6)}</ul></div>"])
+        after = rng.choice(["", f"<aside><h3>Related</h3><ul>{links(5)}</ul></aside>"]) + f"<div class='comments'><p>{prose(14)}</p></div><footer>Copyright {prose(4)}</footer>"
+        got = html_mincut.main_text(f"<html><head><title>x</title></head><body>{before}{inside}{after}</body></html>").split("\n")
+        caught += sum(t in got for t in main)
+        extra += sum(t not in main for t in got)
+        total += len(main)
+    assert caught >= 0.98 * total and extra <= 0.02 * total
