@@ -39,6 +39,8 @@ from derrick.sources.scratch import materialize
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LOCAL, BLOCKS = 200_000, 256
+#: Tasks that grow small nodes, at least.
+GROW_TASKS = 16
 #: Nodes of a forest that is broadcast for prediction; a larger one meets the rows by shuffle.
 BROADCAST_NODES = 1_000_000
 #: Rows of one slice that meets a subtree there.
@@ -268,7 +270,10 @@ def fit_exact_forest(
 
     schema = f"tree int, node int, {_TREE}"
     whole = spark.createDataFrame(sorted(solid), "tree int, node int")
-    grown = rows.join(F.broadcast(whole), ["tree", "node"], "left_anti").groupBy("tree", "node").applyInPandas(subtree, schema)
+    # A given number of tasks: growing takes longer than the size of its rows tells.
+    tasks = max(GROW_TASKS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.join(F.broadcast(whole), ["tree", "node"], "left_anti").repartition(tasks, "tree", "node")
+    grown = dealt.groupBy("tree", "node").applyInPandas(subtree, schema)
     if solid:  # one leaf each, whatever they hold
         mean = F.sum(_exact(F.col("y")) * F.col("w").cast("decimal(10,0)")).cast("double") / F.sum("w")
         leaves = rows.join(F.broadcast(whole), ["tree", "node"]).groupBy("tree", "node").agg(mean.alias("mean"))

@@ -29,6 +29,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE = 256
 DEPTH = 8  # ceil(log2(SAMPLE))
+#: Tasks that grow the trees, at most.
+TREE_TASKS = 16
 _EULER = 0.5772156649015329
 _TREE_DDL = "tree int, feature array<int>, threshold array<double>, path array<double>"
 
@@ -158,6 +160,8 @@ def fit_forest(
 
     grown = (
         tree_samples(df, columns, keys, rows, trees, seed)
+        # A fixed number of tasks: samples are too small for adaptive execution to part.
+        .repartition(min(trees, TREE_TASKS), "tree")
         .groupBy("tree")
         .applyInPandas(build, _TREE_DDL)
         .collect()
