@@ -55,8 +55,11 @@ SALTS = 64
 _WALL = b"\xff"  # no byte of UTF-8: stands for the end of a piece
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + _WALL * 10)
 _P1, _P2 = np.uint64(0x9E3779B185EBCA87), np.uint64(0xC2B2AE3D27D4EB4F)
-STRIPE = "lang string, prefix string, slot int, next array<string>, times array<long>"
+#: A stripe that travels: its words in one text, a space between them (no word holds
+#: one), and their counts as 32-bit numbers side by side.
+STRIPE = "lang string, prefix string, slot int, next string, times binary"
 MERGED = "lang string, prefix string, total long, next array<string>, times array<long>"
+_PACKED = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("slot", pa.int32()), ("next", pa.string()), ("times", pa.binary())])
 _STRIPE = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("slot", pa.int32()), ("next", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))])
 _MERGED = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("total", pa.int64()), ("next", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))])
 
@@ -141,9 +144,25 @@ class _Stripes:
         words = pa.array(["", *(x.decode() for x in names[1:])], pa.string())
         return pa.RecordBatch.from_arrays([
             pa.array([self.lang] * len(starts), pa.string()), pa.array(prefixes, pa.string()).take(pa.array(code[starts])),
-            pa.array(slot[starts], pa.int32()), pa.ListArray.from_arrays(offsets, words.take(pa.array(follows))),
-            pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64())),
-        ], schema=_STRIPE)
+            pa.array(slot[starts], pa.int32()),
+            pa.compute.binary_join(pa.ListArray.from_arrays(offsets, words.take(pa.array(follows))), " "),
+            _packed(times, np.r_[starts, len(code)]),
+        ], schema=_PACKED)
+
+
+def _packed(times: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """The numbers between each two edges as one binary value; a task counts no further than 2^31."""
+    buffers = [None, pa.py_buffer((4 * edges).astype(np.int32)), pa.py_buffer(times.astype(np.int32))]
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, buffers)
+
+
+def _unpacked(batch: pa.RecordBatch) -> pa.Table:
+    """Stripes that have travelled, with lists again."""
+    lists = pa.compute.split_pattern(batch.column(3).cast(pa.string()), " ")
+    offsets = pa.array(np.r_[0, np.cumsum(pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))].astype(np.int32))
+    raw = b"".join(batch.column(4).to_pylist())
+    times = pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(raw, dtype=np.int32).astype(np.int64)))
+    return pa.table([*(batch.column(i).cast(f.type) for i, f in enumerate(list(_STRIPE)[:3])), lists, times], schema=_STRIPE)
 
 
 def stripes(docs: DataFrame, length: int, bitmap: np.ndarray | None, hot: frozenset[tuple[str, str]], tokens_held: int = TOKENS) -> DataFrame:
@@ -212,7 +231,7 @@ def merged(found: DataFrame, least: int = LEAST) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            table = pa.Table.from_batches([batch]).cast(_STRIPE)
+            table = _unpacked(batch)
             done, ends = add(table if rest is None else pa.concat_tables([rest, table]))
             rest = done.slice(done.num_rows - 1)  # its stripes may go on
             if done.num_rows > 1:
