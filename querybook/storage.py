@@ -22,7 +22,8 @@ from derrick.sources.stores import (
 )
 from derrick.sources.versioned import VersionedStore, ledger
 from querybook import roles
-from querybook.book import plain, query, r, table
+from querybook.book import day, plain, query, r, table
+from querybook.cleaning import _FEATURES
 from querybook.roles import with_roles
 
 
@@ -178,6 +179,28 @@ def feature_copies(spark, d):
     return plain(union_all(lines))
 
 
+@query(
+    "feature_copy_rows",
+    with_roles(
+        "production telemetry wells",
+        f"""{_FEATURES} SELECT well_id, {day('production_date')} AS production_date, {r('daily_oil_tons')} AS daily_oil_tons,
+            {r('avg_pressure')} AS avg_pressure, {r('downtime_ratio')} AS downtime_ratio, well_name,
+            {r('sum(daily_oil_tons) OVER (PARTITION BY well_id)', 2)} AS total_oil_tons FROM features""",
+    ),
+)
+def feature_copy_rows(spark, d):
+    """The second written copy, daily rows beside their well's totals, against features that
+    SQL makes anew from the source tables."""
+    source = ParquetStore(spark, scratch_path(spark, "copy-source"))
+    for name in ("production", "telemetry", "wells"):
+        getattr(roles, name)(spark, d).write.parquet(source.path(name + "_"))
+    first, second = (ParquetStore(spark, scratch_path(spark, f"copy-{i}")) for i in (1, 2))
+    run_features(_Unregistered(source), first, second)
+    daily = second.read("features_daily").select("well_id", "production_date", "daily_oil_tons", "avg_pressure", "downtime_ratio", "well_name")
+    wells = second.read("features_by_well").select("well_id", "total_oil_tons")
+    return plain(daily.join(wells, "well_id"))
+
+
 class _Unregistered:
     """A store of tables in the given types, not the declared ones."""
 
