@@ -13,9 +13,9 @@ the items that are large for a child are placed, and so on; the leaves take the
 Which child an item belongs to is a hash of its group, and the tree's width follows
 from the number of items, so the result is the same for any partitioning.
 
-Groups above ``CUT`` of a shard's capacity in any measure are cut first, by a hash of
-the document's id, into pieces of about that size (at most 3 x shards / CUT groups
-can be so large); all other groups stay whole.
+A group stays whole as long as it is no larger than a shard in any measure. Larger ones
+(at most 3 x shards) are cut, by a hash of the document's id, into pieces of about
+``CUT`` of a shard.
 
 Law: ``bytes``, the shards' sums of UTF-8 bytes (plus one a document) are near equal;
 words and rows are as near as the documents allow. The slot numbers the documents of
@@ -48,9 +48,9 @@ from derrick.llm.common import cols, documents, settled, space_words
 from derrick.sources.scratch import materialize
 
 SHARDS = 16
-#: Part of a shard's capacity above which a group is cut, and from which an item is
-#: placed at a node of the tree.
-CUT, LARGE = 1 / 4, 1 / 64
+#: Parts of a shard's capacity: above which a group is cut, what its pieces have, and from
+#: which an item is placed at a node of the tree.
+WHOLE, CUT, LARGE = 1.0, 1 / 4, 1 / 64
 #: Items of a leaf, children of a node, documents of a block of slots.
 LEAF, FAN, BLOCK = 20_000, 256, 2_000
 MOST_BLOCKS = 65_536
@@ -147,7 +147,7 @@ def _share(totals: list[int], shards: int) -> Column:
 def _items(rows: DataFrame, groups: DataFrame, totals: list[int], shards: int) -> tuple[DataFrame, DataFrame]:
     """(items, cut groups): groups as they are, or in pieces."""
     share = _share(totals, shards)
-    cut = groups.filter(share > CUT).select("group", F.ceil(share / CUT).cast("long").alias("pieces"))
+    cut = groups.filter(share > WHOLE).select("group", F.ceil(share / CUT).cast("long").alias("pieces"))
     cut = materialize(cut, "cut-groups")
     whole = groups.join(F.broadcast(cut), "group", "left_anti").select("group", F.lit(0).cast("long").alias("piece"), *MEASURES)
     parts = rows.join(F.broadcast(cut), "group").groupBy(

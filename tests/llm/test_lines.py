@@ -118,3 +118,13 @@ def test_cuckoo_filter():
     assert f.contains(keys[:5_000]).mean() < 0.01
     small = CuckooFilter.sized(1)
     assert not small.insert(keys[:200])  # full: the caller builds it anew
+
+
+@pytest.mark.parametrize("by_shuffle", [False, True])
+def test_query_on_the_given_table(spark, monkeypatch, by_shuffle):
+    if by_shuffle:
+        monkeypatch.setattr(line_dedup, "FILTER_BYTES", -1)
+    sf_dir = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    got = [tuple(r) for r in line_dedup.op7_line_dedup(spark, sf_dir).select("doc_id", "n_lines", "n_dropped", "kept_sha256").collect()]
+    assert sorted(got, key=str) == brute(rows)
