@@ -63,11 +63,14 @@ class ParquetStore:
         write that fails leaves the old rows, and ``df`` may read the table. Between two
         renames there is a moment without the table; :class:`VersionedStore` has none."""
         fresh = f"{self.root.rstrip('/')}/_staged-{uuid4().hex}"
-        df.write.parquet(fresh)
         jvm = self.spark._jvm
-        staged, target = (jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, self.path(name)))
-        past = jvm.org.apache.hadoop.fs.Path(f"{fresh}-past")
+        staged, target, past = (jvm.org.apache.hadoop.fs.Path(p) for p in (fresh, self.path(name), f"{fresh}-past"))
         files = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        try:
+            df.write.parquet(fresh)
+        except Exception:
+            files.delete(staged, True)
+            raise
         old = files.exists(target)
         if old and not files.rename(target, past):
             raise RuntimeError(f"{target} cannot be moved")
