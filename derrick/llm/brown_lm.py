@@ -61,9 +61,16 @@ PRIOR = 50.0
 HALF = 0.5
 
 
-def tokens(text: str | None) -> list[bytes]:
+def tokens(text: bytes | str | None) -> list[bytes]:
     """Lower-cased words: bytes know exactly the white space and letters meant."""
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+    if isinstance(text, str):
+        text = text.encode("utf-8", "surrogatepass")
+    return bytes(text).lower().split() if text else []
+
+
+def _raw(texts: DataFrame) -> DataFrame:
+    """The column ``text`` alone, as the bytes that tasks cut it in."""
+    return texts.select(F.col("text").cast("binary").alias("text"))
 
 
 def rare_class(word: bytes) -> int:
@@ -88,7 +95,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
                     seen = Counter()
         yield pd.DataFrame({"word": list(seen), "c": list(seen.values())})
 
-    counted = texts.select("text").mapInPandas(run, "word binary, c long")
+    counted = _raw(texts).mapInPandas(run, "word binary, c long")
     return counted.groupBy("word").agg(F.sum("c").alias("c"))
 
 
@@ -101,18 +108,19 @@ def bigram_counts(texts: DataFrame, vocabulary: list[bytes]) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids = _Ids(shared.value)
-        for rows in batches:
+        seen = np.zeros(wide * wide, dtype=np.int64)
+        for rows in (b.iloc[i : i + CHUNK] for b in batches for i in range(0, len(b), CHUNK)):
             flat: list[int] = []
             for t in rows["text"]:
                 flat.append(wide - 1)
                 flat += map(ids.__getitem__, tokens(t))
             flat.append(wide - 1)
             x = np.array(flat, dtype=np.int64)
-            pair, c = np.unique(x[:-1] * wide + x[1:], return_counts=True)
-            if len(flat) > 1:
-                yield pd.DataFrame({"pair": pair, "c": c})
+            seen += np.bincount(x[:-1] * wide + x[1:], minlength=wide * wide)
+        pair = np.flatnonzero(seen)
+        yield pd.DataFrame({"pair": pair, "c": seen[pair]})
 
-    counted = texts.select("text").mapInPandas(run, "pair long, c long")
+    counted = _raw(texts).mapInPandas(run, "pair long, c long")
     out = counted.groupBy("pair").agg(F.sum("c").alias("c"))
     return out.select((F.floor(F.col("pair") / wide)).cast("int").alias("a"), (F.col("pair") % wide).cast("int").alias("b"), "c")
 
@@ -211,6 +219,17 @@ def frequent_words(counts: DataFrame, most: int = FREQUENT) -> dict[bytes, int]:
     return dict(sorted(zip(found["word"], found["c"]), key=lambda x: (-x[1], x[0])))
 
 
+class _Known(dict):
+    """Word -> place; all other words have the place behind the last."""
+
+    def __init__(self, words: list[bytes]) -> None:
+        super().__init__((w, i) for i, w in enumerate(words))
+        self.other = len(self)
+
+    def __missing__(self, word: bytes) -> int:
+        return self.other
+
+
 class _Places(dict):
     """Word -> number; new words follow on the core and the edge of a text."""
 
@@ -254,7 +273,7 @@ def neighbour_counts(texts: DataFrame, core: list[bytes], label: np.ndarray) ->
         if flat:
             yield rows_of(places, core, label, flat)
 
-    return texts.select("text").mapInPandas(run, "word binary, seen binary")
+    return _raw(texts).mapInPandas(run, "word binary, seen binary")
 
 
 def assigned(texts: DataFrame, core: list[bytes], label: np.ndarray, classes: int, matrix: np.ndarray) -> DataFrame:
@@ -319,7 +338,7 @@ def class_strings(texts: DataFrame, table: dict[bytes, tuple[int, int]], words:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = shared.value
-        places = {w: i for i, w in enumerate(table)}
+        places = _Known(list(table))
         c = np.array([x for x, _ in table.values()] + [0], dtype=float)
         kind = np.array([k for _, k in table.values()] + [OPEN], dtype=np.uint8)
         base_log, model_log = np.log10(c + 1), np.where(c > 0, np.log10(c + HALF), 0.0)
@@ -329,7 +348,7 @@ def class_strings(texts: DataFrame, table: dict[bytes, tuple[int, int]], words:
             out: list[tuple] = []
             for t in rows["text"]:
                 ws = tokens(t)
-                at = np.fromiter((places.get(w, last) for w in ws), np.int64, len(ws))
+                at = np.fromiter(map(places.__getitem__, ws), np.int64, len(ws))
                 gaps = np.flatnonzero(at == last).tolist()
                 others = [ws[i] for i in gaps]
                 base = end_base + float(base_log[at].sum()) - whole * (len(ws) + 1)
@@ -337,7 +356,7 @@ def class_strings(texts: DataFrame, table: dict[bytes, tuple[int, int]], words:
             done = pd.DataFrame(out, columns=["n_tokens", "n_known", "base", "model", "seq", "others"])
             yield pd.concat([rows[["doc_id", "key"]].reset_index(drop=True), done], axis=1)
 
-    keyed = texts.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), "text")
+    keyed = texts.select("doc_id", row_key(F.col("doc_id"), F.col("text")).alias("key"), F.col("text").cast("binary").alias("text"))
     parts = materialize(keyed.mapInPandas(run, schema), "parts")
     rest = parts.filter(F.size("others") > 0).dropDuplicates(["doc_id", "key"]).select("doc_id", "key", F.posexplode("others").alias("at", "word"))
     met = rest.join(words, "word", "left").withColumn("c", F.coalesce("c", F.lit(0)))
@@ -375,11 +394,12 @@ def class_bigrams(strings: DataFrame, k: int, edge: int) -> np.ndarray:
     """How often one class precedes another, texts opened and closed by the edge."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mark = bytes([edge])
-        for rows in batches:
+        mark, seen = bytes([edge]), np.zeros(k * k, dtype=np.int64)
+        for rows in (b.iloc[i : i + CHUNK] for b in batches for i in range(0, len(b), CHUNK)):
             x = np.frombuffer(mark + b"".join(bytes(s) + mark for s in rows["seq"]), dtype=np.uint8).astype(np.int64)
-            pair, c = np.unique(x[:-1] * k + x[1:], return_counts=True)
-            yield pd.DataFrame({"pair": pair, "c": c})
+            seen += np.bincount(x[:-1] * k + x[1:], minlength=k * k)
+        pair = np.flatnonzero(seen)
+        yield pd.DataFrame({"pair": pair, "c": seen[pair]})
 
     out = np.zeros(k * k)
     for r in strings.select("seq").mapInPandas(run, "pair long, c long").groupBy("pair").agg(F.sum("c").alias("c")).collect():
