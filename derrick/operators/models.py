@@ -21,6 +21,9 @@ _NODE_MEMORY_MB = 1024
 #: Partitions a training set is dealt to, whatever the cluster: more executors than
 #: this do not shorten a training. Part of the model, like its seed.
 TRAIN_PARTITIONS = 64
+#: Rows of a partition from which on a training set gets more of them, and equal rows
+#: that are dealt together.
+TRAIN_ROWS, TOGETHER = 200_000, 100
 #: Values of a feature that a split of the classifier tells apart.
 MAX_BINS = 32
 
@@ -30,12 +33,25 @@ def feature_vector(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def training_set(train: DataFrame, features: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """The columns a training reads, in a fixed number of partitions by row
-    hash and in a fixed order, as bagging and bin sampling are seeded per partition. So
-    the same rows give the same model on any cluster and in any input order."""
-    rows = train.select(*features, *columns)
-    spread = rows.repartition(TRAIN_PARTITIONS, F.xxhash64(*rows.columns))
-    return feature_vector(spread.sortWithinPartitions(*rows.columns), features)
+    """The columns a training reads, in a number of partitions that the number of rows fixes,
+    by row hash and in a fixed order, as bagging and bin sampling are seeded per partition. So
+    the same rows give the same model on any cluster and in any input order.
+
+    Equal rows are counted, and travel as counts of at most ``TOGETHER`` that are dealt
+    apart, so a value that most rows have burdens no partition."""
+    names = [*features, *columns]
+    keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(names)]
+    counts = train.select(*keys).groupBy(*(f"_k{i}" for i in range(len(names)))).agg(F.count(F.lit(1)).alias("_n"))
+    parts = max(TRAIN_PARTITIONS, -(-train.count() // TRAIN_ROWS))
+    rows = counts.select(
+        *(F.col(f"_k{i}").alias(c) for i, c in enumerate(names)), "_n",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_n") - 1) / TOGETHER))).alias("_part"),
+    )
+    row = F.xxhash64(*names)
+    spread = rows.repartition(parts, F.when(F.col("_part") == 0, row).otherwise(F.xxhash64(row, "_part")))
+    times = F.least(F.col("_n") - F.col("_part") * TOGETHER, F.lit(TOGETHER)).cast("int")
+    each = spread.select(*names, F.explode(F.sequence(F.lit(1), times)).alias("_copy")).drop("_copy")
+    return feature_vector(each.sortWithinPartitions(*names), features)
 
 
 def fit_linear(train: DataFrame, features: Sequence[str], target: str):
