@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from derrick.functions import micros
 from derrick.operators.aggregates import union_all
 from derrick.schemas import TableSpec
 
@@ -106,13 +108,36 @@ def _key_hash(columns: Sequence[Column]) -> Column:
     """128 bits for a key; nulls are values of their own."""
     parts = [x for c in columns for x in (c.isNull(), c)]
     first = F.xxhash64(*parts)
-    return F.struct(first.alias("h1"), F.xxhash64(F.lit(1), first, *parts).alias("h2"))
+    return F.struct(first.alias("h1"), F.xxhash64(F.lit(1), first, *parts).alias("h2"), F.lit(0).alias("nulls"))
+
+
+_MOMENTS = (T.TimestampType, T.TimestampNTZType)
+_NARROW = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, *_MOMENTS)
+
+
+def _is_narrow(df: DataFrame, key: Sequence[str]) -> bool:
+    return len(key) <= 2 and all(isinstance(df.schema[c].dataType, _NARROW) for c in key)
+
+
+def _key(df: DataFrame, key: Sequence[str]) -> Column:
+    """128 bits for a key: up to two whole numbers, days or moments as they are, which
+    shuffles pack better than hashes, with a mask of their nulls; the hash of any other."""
+    if not _is_narrow(df, key):
+        return _key_hash([F.col(c) for c in key])
+    parts = []
+    for c in key:
+        kind = df.schema[c].dataType
+        value = micros(df, c) if isinstance(kind, _MOMENTS) else F.unix_date(c) if isinstance(kind, T.DateType) else F.col(c)
+        parts.append(F.coalesce(value.cast("long"), F.lit(0).cast("long")))
+    parts += [F.lit(0).cast("long")] * (2 - len(parts))
+    nulls = sum((F.col(c).isNull().cast("int") * (1 << i) for i, c in enumerate(key)), F.lit(0))
+    return F.struct(parts[0].alias("h1"), parts[1].alias("h2"), nulls.alias("nulls"))
 
 
 def check_tables(frames: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]) -> DataFrame:
     """All rules of several tables. Each table is read once for its row rules and once
     for its keys: every unique key, foreign key and referenced key of all tables goes
-    as a hash into one aggregation, where equal keys meet (counted map-side, so a hot
+    as 128 bits into one aggregation, where equal keys meet (counted map-side, so a hot
     key is one row a task), and a second one counts what is broken."""
     parts, keyed, kinds = [], [], []
     for name, df in frames.items():
@@ -120,19 +145,22 @@ def check_tables(frames: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]
         parts.append(count_rules(df, name, _row_rules(df, spec)))
         asked = []
         for key in _keys(df, spec):
-            asked.append((len(kinds), [F.col(c) for c in key], F.lit(True), F.lit(False)))
+            asked.append((len(kinds), _key(df, key), F.lit(True), F.lit(False)))
             kinds.append(("unique", name, ",".join(key)))
         for column, parent, parent_column in _parents(spec, frames):
-            # One type on both sides, so that equal keys have equal hashes.
-            asked.append((len(kinds), [F.col(column).cast("string")], F.col(column).isNotNull(), F.lit(False)))
-            used = frames[parent].select(F.struct(F.lit(len(kinds)).alias("kind"), _key_hash([F.col(parent_column).cast("string")]).alias("key"),
-                                                  F.lit(True).alias("known")).alias("k"))
+            # One type on both sides, so that equal keys have equal bits.
+            whole = all(isinstance(t.schema[c].dataType, T.IntegralType) for t, c in ((df, column), (frames[parent], parent_column)))
+            own, other = (
+                _key(t, [c]) if whole else _key_hash([F.col(c).cast("string")]) for t, c in ((df, column), (frames[parent], parent_column))
+            )
+            asked.append((len(kinds), own, F.col(column).isNotNull(), F.lit(False)))
+            used = frames[parent].select(F.struct(F.lit(len(kinds)).alias("kind"), other.alias("key"), F.lit(True).alias("known")).alias("k"))
             keyed.append(used)
             kinds.append(("foreign_key", name, column))
         if asked:
             held = F.array(*(
-                F.when(there, F.struct(F.lit(kind).alias("kind"), _key_hash(columns).alias("key"), known.alias("known")))
-                for kind, columns, there, known in asked
+                F.when(there, F.struct(F.lit(kind).alias("kind"), key.alias("key"), known.alias("known")))
+                for kind, key, there, known in asked
             ))
             keyed.append(df.select(F.explode(F.array_compact(held)).alias("k")))
     if keyed:

@@ -16,6 +16,7 @@ from derrick.operators.quality import (
     not_null_rules,
     range_rules,
 )
+from derrick.plans import marts
 from derrick.schemas import TABLES
 from derrick.sources.catalog import register, tables_present
 from derrick.sources.quarantine import quarantine
@@ -223,8 +224,9 @@ def _rules_sql(name: str) -> list[str]:
 )
 def dq_source_tables(spark, d):
     """Every rule of the source tables on the given tables in their shape, each written
-    once as its source table would be."""
-    frames = {name: materialize(getattr(roles, name)(spark, d), name) for name in _CHECKED}
+    once as its source table would be; the targets are made of the written ones."""
+    frames = {name: materialize(getattr(roles, name)(spark, d), name) for name in _CHECKED if name != "well_targets"}
+    frames["well_targets"] = materialize(marts.well_targets(frames["production"], frames["telemetry"]), "well_targets")
     return check_tables(frames, TABLES)
 
 
