@@ -12,6 +12,7 @@ from derrick.operators.models import (
     predict,
     regression_metrics,
     roc_auc,
+    training_set,
 )
 from derrick.operators.split import class_quotas, random_split, stratified_split
 from derrick.plans import marts
@@ -155,6 +156,24 @@ def test_linear_model_matches_least_squares(spark):
     assert got["rmse"] == pytest.approx(np.sqrt((gap**2).mean()))
 
 
+def test_equal_rows_burden_no_partition(spark):
+    """Most rows are equal: all are there, dealt evenly, the same way from any partitions."""
+    df = spark.range(26_000).select(F.when(F.col("id") < 25_000, 1.5).otherwise(F.col("id") % 400 + 0.5).alias("p"),
+                                    (F.col("id") % 2).cast("double").alias("y"))
+    got = []
+    for parts in (2, 7):
+        rows = training_set(df.repartition(parts), ["p"], ["y"])
+        at = rows.groupBy(F.spark_partition_id().alias("at"), "p", "y").count().collect()
+        got.append(sorted((r["at"], r["p"], r["y"], r["count"]) for r in at))
+    assert got[0] == got[1]
+    loads, values = {}, {}
+    for at, p, y, n in got[0]:
+        loads[at] = loads.get(at, 0) + n
+        values[p, y] = values.get((p, y), 0) + n
+    assert max(loads.values()) < 26_000 / 10
+    assert values == {(r["p"], r["y"]): r["count"] for r in df.groupBy("p", "y").count().collect()}
+
+
 def test_auc_counts_ties_half(spark):
     rows = [(1, 0.9), (0, 0.9), (1, 0.5), (0, 0.1), (0, 0.5), (1, 0.7)]
     pairs = [(p, n) for y, p in rows if y for z, n in rows if not z]
