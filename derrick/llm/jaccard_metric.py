@@ -12,19 +12,23 @@ come first, each of which a linked pair is certain to survive:
 2. isolation: a set more than a tenth of whose shingles occur nowhere else is further
    than 0.1 from all others. Shingles are counted in a fixed quarter of the hash space
    first, which bounds the full count from below, and among the survivors in full;
-3. provinces: linked sets of sizes s and t differ in at most (s + t) / 19 shingles
-   (for 0.1), so of one part more than that, dealt by hash, they agree in at least one. Sets that
-   agree in a part are in one province; provinces that share a set are one.
+3. provinces: linked sets share 90 of 100 shingles of either, so, in any order of all
+   shingles, at least one of the first tenth (and one more) of both. In the order of
+   rarity few others share these. Sets of like sizes that share one are in one
+   province; provinces that share a set are one.
 
 Within a province distances vary and pivots work:
 
 4. a province that fits a task is swept by pivots: a set joins the pivot's component
    if it lies within the radius, and sets whose distances to an earlier pivot differ by
    more than the radius are passed over (triangle inequality);
-5. a larger one is cut into Voronoi cells around pivots drawn by hash. A set goes to
-   the cell of its nearest pivot, and also to every cell whose pivot is at most twice
-   the radius further away: a linked partner has its home there or here. Cells are cut
-   again until they fit;
+5. a larger one is parted: linked sets of sizes s and t differ in at most (s + t) / 19
+   shingles (for 0.1), so of one part more than that, dealt by hash, they agree in at
+   least one. (By themselves parts make no provinces: small ones are often empty, and
+   all sets with the same empty part agree in it.) What is still too large is cut into
+   Voronoi cells around pivots drawn by hash. A set goes to the cell of its nearest
+   pivot, and also to every cell whose pivot is at most twice the radius further away:
+   a linked partner has its home there or here. Cells are cut again until they fit;
 6. cells that do not shrink are crowded around their pivots. What lies within the
    radius of the best of some pivots is one component with it, so only pairs with a set
    outside remain; these are compared in blocks, exactly, and yield spanning edges.
@@ -48,7 +52,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from derrick.llm.common import cols, documents, hinted, row_key, settled
@@ -208,19 +212,53 @@ def part_signatures(s: np.ndarray, metric: Metric) -> list[int]:
     return out
 
 
+def rare_shingles(full: DataFrame, metric: Metric) -> DataFrame:
+    """(c, s, size) of the rarest shingles of each class (c, a hash of cls) of ``full``
+    (cls, n, s), as many as two linked classes cannot have without sharing one, less those
+    of one class alone. ``size`` numbers the classes of sizes from the set's own to the
+    largest that may be linked with it, so linked classes share an (s, size)."""
+    spread = full.select(F.xxhash64("cls").alias("c"), "n", F.explode("s").alias("s"))
+    often = spread.groupBy("s").agg(F.count(F.lit(1)).alias("sets"))
+    order = Window.partitionBy("c").orderBy("sets", "s")
+    ranked = spread.join(often, "s").withColumn("at", F.row_number().over(order))
+    # Linked sets share at least percent * n / 100; all others, and one more, come first.
+    first = ranked.filter(100 * (F.col("at") - 1) <= (100 - metric.percent) * F.col("n")).filter("sets > 1")
+
+    def size_class(n: Column) -> Column:
+        return F.floor(F.log(n.cast("double")) / float(np.log(metric.step)))
+
+    most = F.floor(100 * F.col("n") / metric.percent)
+    return first.select("c", "s", F.explode(F.sequence(size_class(F.col("n")), size_class(most))).alias("size"))
+
+
+def _joined(keyed: DataFrame, name: str, *key: str) -> DataFrame:
+    """(node, root) of the names that share a key, directly or through others."""
+    heads = keyed.groupBy(*key).agg(F.min(name).alias("head"), F.max(name).alias("last")).filter("head <> last")
+    edges = keyed.join(heads, list(key)).select(F.col(name).alias("a"), F.col("head").alias("b")).filter("a <> b").distinct()
+    return components(materialize(edges, "province-edges"))
+
+
 def provinces(full: DataFrame, metric: Metric) -> DataFrame:
-    """(cls, province) of the classes that agree with another one in a part."""
+    """(cls, province) of the classes that share one of their rarest shingles with
+    another one of like size."""
+    joined = _joined(materialize(rare_shingles(full, metric), "rare"), "c", "s", "size")
+    named = full.select("cls", F.xxhash64("cls").alias("node")).join(joined, "node")
+    return named.select("cls", F.col("root").cast("string").cast("binary").alias("province"))
+
+
+def _parted(cells: DataFrame, metric: Metric) -> DataFrame:
+    """Provinces (cell, cls, s) parted further: the classes that agree with another one
+    of their cell in a part, in cells of those that such agreement joins."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             keys = [part_signatures(np.asarray(s).view(np.uint64), metric) for s in rows["s"]]
-            yield pd.DataFrame({"cls": rows["cls"].repeat([len(k) for k in keys]), "part": [x for k in keys for x in k]})
+            times = [len(k) for k in keys]
+            yield pd.DataFrame({"cell": rows["cell"].repeat(times), "cls": rows["cls"].repeat(times), "part": [x for k in keys for x in k]})
 
-    parts = materialize(full.select("cls", "s").mapInPandas(run, "cls binary, part long"), "parts")
-    heads = parts.groupBy("part").agg(F.min("cls").alias("head"), F.max("cls").alias("last")).filter("head <> last")
-    edges = parts.join(heads, "part").select(F.col("cls").alias("a"), F.col("head").alias("b")).filter("a <> b").distinct()
-    joined = components(materialize(edges, "province-edges"))
-    return joined.select(F.col("node").alias("cls"), F.col("root").alias("province"))
+    parts = materialize(cells.mapInPandas(run, "cell binary, cls binary, part long"), "parts")
+    joined = _joined(parts, "cls", "cell", "part")
+    return cells.select("cls", "s").join(joined, F.col("cls") == F.col("node")).select(F.col("root").alias("cell"), "cls", "s")
 
 
 class Sets:
@@ -295,13 +333,14 @@ def _swept(cells: DataFrame, metric: Metric) -> DataFrame:
     return cells.groupBy("cell").applyInPandas(run, _EDGE)
 
 
-_CUT = "cell binary, home boolean, cls binary, s array<long>, edge binary"
+_CUT = "cell binary, cls binary, s array<long>, near array<binary>, linked array<binary>"
 
 
 def _cut(cells: DataFrame, weights: DataFrame, metric: Metric) -> DataFrame:
-    """One Voronoi round over cells (cell, cls, s) too large for a task: rows (new cell,
-    cls, s) and, where a pivot is within the radius, the edge to it. Members are
-    dealt to slices, each of which gets the cell's pivots."""
+    """One Voronoi round over cells (cell, cls, s) too large for a task: each member with
+    the pivots ``near`` it, whose cells it goes to, and those ``linked`` with it. Members
+    are dealt to slices, each of which gets the cell's pivots. A task returns each set
+    once, however many pivots are near it; ``_spread`` multiplies them on the way."""
     slices = F.ceil(F.col("weight") / (TASK_SHINGLES / 4)).cast("int")
     large = cells.join(weights.select("cell", slices.alias("slices"), "sets"), "cell")
     draw = F.pmod(F.xxhash64("cls", "cell"), F.col("sets")) < 2 * PIVOTS
@@ -314,9 +353,8 @@ def _cut(cells: DataFrame, weights: DataFrame, metric: Metric) -> DataFrame:
     dealt = large.withColumn("slice", F.pmod(F.xxhash64("cls"), F.col("slices")).cast("int")).drop("slices", "sets")
 
     def run(members: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
-        out: dict[str, list] = {"cell": [], "home": [], "cls": [], "s": [], "edge": []}
         if not len(members) or not len(around):
-            return pd.DataFrame(out, dtype=object)
+            return pd.DataFrame({c: [] for c in ("cell", "cls", "s", "near", "linked")}, dtype=object)
         arrays = [np.asarray(x) for x in members["s"]] + [np.asarray(x) for x in around["s"]]
         s, g = Sets(arrays), len(members)
         every = np.arange(g)
@@ -324,22 +362,22 @@ def _cut(cells: DataFrame, weights: DataFrame, metric: Metric) -> DataFrame:
         sizes = s.n[every][:, None]
         d = distance(shared, sizes, s.n[g:][None, :])
         link = metric.linked(shared, sizes, s.n[g:][None, :])
-        home = d.argmin(axis=1)
         wide = d <= d.min(axis=1)[:, None] + 2 * metric.radius + 1e-9
-        ids, names = members["cls"].tolist(), around["cls"].tolist()
-        parent = members["cell"].iloc[0]
-        for i in range(g):
-            for j in np.flatnonzero(wide[i]):
-                out["cell"].append(blake2b(parent + names[j], digest_size=16).digest())
-                out["home"].append(bool(j == home[i]))
-                out["cls"].append(ids[i])
-                out["s"].append(arrays[i])
-                out["edge"].append(names[j] if link[i, j] else None)
-        return pd.DataFrame(out, dtype=object)
+        names = around["cls"].tolist()
+        return members[["cell", "cls", "s"]].assign(
+            near=[[names[j] for j in np.flatnonzero(row)] for row in wide],
+            linked=[[names[j] for j in np.flatnonzero(row)] for row in link & wide],
+        )
 
     return dealt.groupBy("cell", "slice").cogroup(pivots.groupBy("cell", "slice")).applyInPandas(run, _CUT)
 
 
+def _spread(cut: DataFrame) -> DataFrame:
+    """The members of ``cut`` in each of their new cells (cell, cls, s)."""
+    each = cut.select("cell", F.explode("near").alias("pivot"), "cls", "s")
+    return each.select(F.unhex(F.md5(F.concat("cell", "pivot"))).alias("cell"), "cls", "s")
+
+
 def _weights(cells: DataFrame) -> DataFrame:
     return cells.groupBy("cell").agg(F.sum(F.size("s")).cast("long").alias("weight"), F.count(F.lit(1)).alias("sets"))
 
@@ -423,11 +461,16 @@ def _in_blocks(
 def link_edges(full: DataFrame, metric: Metric, rounds: int = 6) -> DataFrame:
     """Edges between linked classes that connect all of each component."""
     home = materialize(provinces(full, metric), "provinces")
-    cells = full.join(home, "cls").select(F.col("province").alias("cell"), "cls", "s")
+    cells = materialize(full.join(home, "cls").select(F.col("province").alias("cell"), "cls", "s"), "cells")
+    weights = materialize(_weights(cells), "weights")
     edges = []
-    for left in range(rounds, -1, -1):
-        cells = materialize(cells, "cells")
+    big = weights.filter(F.col("weight") > TASK_SHINGLES)
+    if not big.isEmpty():
+        small = weights.filter(F.col("weight") <= TASK_SHINGLES).select("cell")
+        edges.append(materialize(_swept(cells.join(small, "cell", "left_semi"), metric), "edges"))
+        cells = materialize(_parted(cells.join(big.select("cell"), "cell", "left_semi"), metric), "cells")
         weights = materialize(_weights(cells), "weights")
+    for left in range(rounds, -1, -1):
         small = weights.filter(F.col("weight") <= TASK_SHINGLES).select("cell")
         edges.append(materialize(_swept(cells.join(small, "cell", "left_semi"), metric), "edges"))
         big = weights.filter(F.col("weight") > TASK_SHINGLES)
@@ -438,12 +481,13 @@ def link_edges(full: DataFrame, metric: Metric, rounds: int = 6) -> DataFrame:
             edges += [materialize(e, "edges") for e in _in_blocks(big_cells, big, metric)]
             break
         cut = materialize(_cut(big_cells, big, metric), "cut")
-        edges.append(cut.filter("edge IS NOT NULL AND edge <> cls").select(F.col("cls").alias("a"), F.col("edge").alias("b")))
-        spread, held = cut.count(), big.agg(F.sum("sets")).first()[0]
+        edges.append(cut.select(F.col("cls").alias("a"), F.explode("linked").alias("b")).filter("a <> b"))
+        spread, held = cut.agg(F.coalesce(F.sum(F.size("near")), F.lit(0))).first()[0], big.agg(F.sum("sets")).first()[0]
         if spread > 4 * held:  # windows reach most cells: the province is crowded
             edges += [materialize(e, "edges") for e in _in_blocks(big_cells, big, metric)]
             break
-        cells = cut.select("cell", "cls", "s")
+        cells = materialize(_spread(cut), "cells")
+        weights = materialize(_weights(cells), "weights")
     out = edges[0]
     for more in edges[1:]:
         out = out.unionByName(more)

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from derrick.llm import jaccard_metric as jm
 from derrick.llm.components import components
@@ -169,3 +170,54 @@ def test_crowded_cells_give_spanning_edges(spark, monkeypatch, limit):
         root[find(a)] = find(b)
     plain = {(i, j) for i in range(n) for j in range(i) if 10 * len(np.intersect1d(sets[i], sets[j])) >= 9 * len(np.union1d(sets[i], sets[j]))}
     assert len(plain) > 20 * n and all(find(i) == find(j) for i, j in plain)
+
+
+def test_sets_with_empty_parts_alone_in_common_are_no_province(spark):
+    """Small parts are often empty, and all sets agree in the same empty part."""
+    rng, metric = np.random.default_rng(8), jm.NEAR
+    base = [rng.integers(0, 2**62, 60) for _ in range(80)]
+    rows = [b[: 60 - 3 * k] for b in base for k in range(2)]
+    full = [(i.to_bytes(2, "big"), len(s), sorted(s.tolist())) for i, s in enumerate(rows)]
+    df = spark.createDataFrame(full, "cls binary, n long, s array<long>")
+    found = {}
+    for r in jm.provinces(df, metric).collect():
+        found.setdefault(bytes(r["province"]), []).append(int.from_bytes(r["cls"], "big"))
+    assert sorted(sorted(v) for v in found.values()) == [[2 * i, 2 * i + 1] for i in range(80)]
+
+
+@pytest.mark.parametrize("metric", [jm.Metric(3, 90), jm.NEAR, jm.Metric(2, 60)])
+def test_linked_sets_share_a_rare_shingle(spark, metric):
+    rng = np.random.default_rng(12)
+    pool = rng.integers(0, 2**62, 500)
+    sets = [np.unique(rng.choice(pool, int(rng.integers(1, 80)))) for _ in range(30)]
+    for x in list(sets):
+        for _ in range(4):
+            cut, add = (int(rng.integers(0, len(x) * (100 - metric.percent) // 100 + 2)) for _ in range(2))
+            y = np.unique(np.concatenate([x[cut:], rng.choice(pool, add)]))
+            sets += [y] if len(y) else []
+    sets = [np.array(s) for s in sorted({tuple(s.tolist()) for s in sets})]
+    rows = [(i.to_bytes(2, "big"), len(s), s.tolist()) for i, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "cls binary, n long, s array<long>")
+    names = {r["c"]: int.from_bytes(r["cls"], "big") for r in df.select("cls", F.xxhash64("cls").alias("c")).collect()}
+    keys = {}
+    for r in jm.rare_shingles(df, metric).collect():
+        keys.setdefault(names[r["c"]], set()).add((r["s"], r["size"]))
+    linked = 0
+    for i, x in enumerate(sets):
+        for j in range(i):
+            if metric.linked(len(np.intersect1d(x, sets[j])), len(x), len(sets[j])):
+                linked += 1
+                assert keys.get(i, set()) & keys.get(j, set())
+    assert linked > 50
+
+
+def test_a_cut_returns_each_set_once(spark):
+    """However many pivots are near a set, a task holds and returns it once."""
+    rng, metric = np.random.default_rng(13), jm.NEAR
+    rows = [(b"c", i.to_bytes(2, "big"), sorted(rng.integers(0, 2**62, 40).tolist())) for i in range(300)]
+    cells = spark.createDataFrame(rows, "cell binary, cls binary, s array<long>")
+    cut = jm._cut(cells, jm._weights(cells), metric)
+    near = {bytes(r["cls"]): (len(r["near"]), r["s"]) for r in cut.collect()}
+    assert cut.count() == 300 and {k: s for k, (_, s) in near.items()} == {c: s for _, c, s in rows}
+    assert max(n for n, _ in near.values()) == jm.PIVOTS
+    assert jm._spread(cut).count() == sum(n for n, _ in near.values())
